@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import clock
 from tickloom.operators.numbering import exact_quantile
+from tickloom.sources.tables import materialise
 
 
 def recent(trades: DataFrame, as_of=None, seconds: int = 86400) -> DataFrame:
@@ -65,7 +66,7 @@ def anomalies(model: PipelineModel, trades: DataFrame, threshold: float) -> Data
 def anomaly_zscore(training: DataFrame, trades: DataFrame, limit: float = 3.0) -> DataFrame:
     """Trades whose price or volume is more than ``limit`` deviations off the symbol's mean.
 
-    One row per symbol is joined back; adaptive execution broadcasts it when it is small.
+    The statistics, one row per symbol, are computed once and broadcast if they are few.
     """
     stats = training.groupBy("symbol").agg(
         F.avg("price").alias("_mp"),
@@ -73,6 +74,7 @@ def anomaly_zscore(training: DataFrame, trades: DataFrame, limit: float = 3.0) -
         F.avg("volume").alias("_mv"),
         F.stddev_samp("volume").alias("_sv"),
     )
+    stats = materialise(stats)
     z_price = F.abs(F.try_divide(F.col("price") - F.col("_mp"), F.col("_sp")))
     z_volume = F.abs(F.try_divide(F.col("volume") - F.col("_mv"), F.col("_sv")))
     scored = trades.join(stats, "symbol").withColumn(

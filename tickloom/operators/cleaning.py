@@ -65,6 +65,28 @@ def parse_trades(
     return rows.withColumn("parse_error", error).drop("_m", "_missing")
 
 
+def _checks(listed: Column, as_of, max_future: int, max_past: int) -> list[tuple[str, Column]]:
+    """(reason, condition an accepted row meets), in the order they are tested.
+
+    Plain comparisons of columns with literals, so that Spark can push them into a Parquet scan.
+    Whole seconds count: both drift limits are inclusive to the second.
+    """
+    now = F.unix_seconds(clock.as_instant(as_of))
+    t, price, volume = F.col("event_time"), F.col("price"), F.col("volume")
+    present = t.isNotNull() & F.col("symbol").isNotNull() & price.isNotNull() & volume.isNotNull()
+    near = (t >= F.timestamp_seconds(now - max_past)) & (t < F.timestamp_seconds(now + max_future + 1))
+    return [
+        ("missing_fields", present),
+        ("not_in_whitelist", listed),
+        ("invalid_values", numeric.positive_finite(price) & numeric.positive_finite(volume)),
+        ("clock_drift", near),
+    ]
+
+
+def _normalised(trades: DataFrame) -> DataFrame:
+    return trades.withColumn("symbol", symbols.normalise(F.col("symbol")))
+
+
 def classify(
     trades: DataFrame,
     allowed: Sequence[str] | DataFrame = schema.DEFAULT_SYMBOLS,
@@ -77,24 +99,15 @@ def classify(
     ``allowed`` is a list, or a DataFrame with a ``symbol`` column when the list is a table.
     Works on parsed messages and on typed trades alike, batch or stream.
     """
-    rows = trades.withColumn("symbol", symbols.normalise(F.col("symbol")))
+    rows = _normalised(trades)
     if isinstance(allowed, DataFrame):
         known = allowed.select(F.col("symbol").alias("_known")).distinct()
         rows = rows.join(known, rows["symbol"] == known["_known"], "left")
-        listed: Column = F.col("_known").isNotNull()
+        listed = F.col("_known").isNotNull()
     else:
         listed = F.col("symbol").isin([s.upper() for s in allowed])
-    now = F.unix_seconds(clock.as_instant(as_of))
-    at = F.unix_seconds(F.col("event_time"))
-    absent = F.lit(False)
-    for c in ("event_time", "symbol", "price", "volume"):
-        absent = absent | F.col(c).isNull()
-    valid = numeric.positive_finite(F.col("price")) & numeric.positive_finite(F.col("volume"))
-    reason = (
-        F.when(absent, "missing_fields")
-        .when(~listed, "not_in_whitelist")
-        .when(~valid, "invalid_values")
-        .when(~at.between(now - max_past, now + max_future), "clock_drift")
+    reason = F.coalesce(
+        *[F.when(~ok, name) for name, ok in _checks(listed, as_of, max_future, max_past)]
     )
     if "parse_error" in rows.columns:
         reason = F.coalesce(F.col("parse_error"), reason)
@@ -109,9 +122,25 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason").isNotNull())
 
 
-def clean_trades(trades: DataFrame, **limits) -> DataFrame:
-    """Only the accepted rows; see ``classify`` for the parameters."""
-    return accepted(classify(trades, **limits))
+def clean_trades(
+    trades: DataFrame,
+    allowed: Sequence[str] | DataFrame = schema.DEFAULT_SYMBOLS,
+    as_of=None,
+    max_future: int = schema.MAX_FUTURE_SECONDS,
+    max_past: int = schema.MAX_PAST_SECONDS,
+) -> DataFrame:
+    """Only the rows that ``classify`` accepts, as plain filters that reach the scan."""
+    rows = _normalised(trades)
+    if "parse_error" in rows.columns:
+        rows = rows.where(F.col("parse_error").isNull()).drop("parse_error")
+    if isinstance(allowed, DataFrame):
+        rows = rows.join(allowed.select("symbol").distinct(), "symbol", "left_semi")
+        listed = F.lit(True)
+    else:
+        listed = F.col("symbol").isin([s.upper() for s in allowed])
+    for _, ok in _checks(listed, as_of, max_future, max_past):
+        rows = rows.where(ok)
+    return rows.select(*[c for c in trades.columns if c != "parse_error"])
 
 
 def drop_exact_copies(trades: DataFrame, id_col: str = "id") -> DataFrame:

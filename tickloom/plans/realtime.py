@@ -7,7 +7,6 @@ cleaning admits trades from at most 30 days before to 1 day after their processi
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -22,11 +21,11 @@ HOUR = 3600
 
 
 def _recent(trades: DataFrame, as_of, seconds: int, when: str, max_past: int) -> DataFrame:
-    now = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    now = now or dt.datetime.now(dt.timezone.utc)
-    # A day of slack on either side covers clock skew and the zone of the partition columns.
-    first = now - dt.timedelta(seconds=seconds + max_past + 86400)
-    last = now + dt.timedelta(seconds=schema.MAX_FUTURE_SECONDS + 86400)
+    # Expressions of the moment of reading, so that a registered view moves on with the clock. A
+    # day of slack on either side covers the zone of the partition columns.
+    now = clock.as_instant(as_of)
+    first = now - F.expr(f"INTERVAL {seconds + max_past + 86400} SECONDS")
+    last = now + F.expr(f"INTERVAL {schema.MAX_FUTURE_SECONDS + 86400} SECONDS")
     return prune_days(trades, first, last).where(clock.within(F.col(when), as_of, seconds))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -127,12 +128,22 @@ DIM_EXCHANGE_SEED = (
 )
 
 
+def local_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """Rows as a local relation, whose size Spark knows and so broadcasts by itself.
+
+    From plain Python rows Spark makes an RDD of unknown size, and shuffles the trades to join it.
+    """
+    names = [column.split()[0] for column in ddl.split(", ")]
+    columns = {name: pa.array(values) for name, values in zip(names, zip(*rows))}
+    return spark.createDataFrame(pa.table(columns), ddl)
+
+
 def dim_symbol(spark: SparkSession, rows=DIM_SYMBOL_SEED) -> DataFrame:
-    return spark.createDataFrame(list(rows), DIM_SYMBOL_DDL)
+    return local_table(spark, rows, DIM_SYMBOL_DDL)
 
 
 def dim_exchange(spark: SparkSession, rows=DIM_EXCHANGE_SEED) -> DataFrame:
-    return spark.createDataFrame(list(rows), DIM_EXCHANGE_DDL)
+    return local_table(spark, rows, DIM_EXCHANGE_DDL)
 
 
 def parse_symbol_list(text: str) -> list[str]:

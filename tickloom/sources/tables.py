@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import tempfile
 
@@ -44,32 +43,33 @@ def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return df
 
 
+def materialise(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Compute a small table once, and mark it for broadcast if it proves to be small."""
+    return small(cut_lineage(df), max_rows)
+
+
 def prune_days(trades: DataFrame, start, end) -> DataFrame:
     """Keep whole days from ``start`` to ``end`` by the partition columns alone.
 
     A filter on event_time never prunes folders; this one does. Rows inside the two days stay, so
-    the caller still filters on the exact time.
+    the caller still filters on the exact time. Without the partition columns nothing is dropped.
     """
     if not {"year", "month", "day"} <= set(trades.columns):
         return trades
     key = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-    first, last = (_day_number(x) for x in (start, end))
+    first, last = (clock.date_key(F.to_date(clock.as_instant(x))) for x in (start, end))
     return trades.where(key.between(first, last))
 
 
-def _day_number(x) -> int:
-    d = dt.datetime.fromisoformat(x) if isinstance(x, str) else x
-    return d.year * 10000 + d.month * 100 + d.day
+def read_range(trades: DataFrame, start, end) -> DataFrame:
+    """start <= event_time < end, pruned to the partitions that can hold such rows.
 
-
-def read_range(trades: DataFrame, start: str, end: str) -> DataFrame:
-    """start <= event_time < end (UTC), pruned to the partitions that can hold such rows."""
-    lo, hi = (dt.datetime.fromisoformat(x) for x in (start, end))
-    pad = dt.timedelta(days=1)
+    A day of slack on either side covers tables written in another zone.
+    """
+    lo, hi = clock.as_instant(start), clock.as_instant(end)
+    day = F.expr("INTERVAL 1 DAY")
     t = F.col("event_time")
-    return prune_days(trades, lo - pad, hi + pad).where(
-        (t >= clock.as_instant(lo)) & (t < clock.as_instant(hi))
-    )
+    return prune_days(trades, lo - day, hi + day).where((t >= lo) & (t < hi))
 
 
 def ensure_table(spark: SparkSession, name: str, columns: StructType = schema.SILVER, path: str | None = None,
@@ -132,10 +132,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def compact(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Rewrite a lake folder of many small files as few files per day; the source is left alone."""
+def compact(spark: SparkSession, source: str, target: str, start=None, end=None) -> DataFrame:
+    """Rewrite a lake folder of many small files as few files per day; the source is left alone.
+
+    With ``start`` and ``end`` only those days are read and written.
+    """
     days = ["year", "month", "day"]
     rows = spark.read.parquet(source)
+    if start and end:
+        rows = prune_days(rows, start, end)
     keep = [c for c in rows.columns if c not in (*days, "batch_id")]
     out = by_day(rows.select(*keep, *days))
     out.sortWithinPartitions(*days, "event_time").write.partitionBy(*days).parquet(target)

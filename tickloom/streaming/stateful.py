@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tickloom.operators.throttle import passed
+from tickloom.operators.throttle import passed, throttle
+from tickloom.sources.tables import small
 from tickloom.streaming.slices import read_slices, write_slice
 
 FULL_KEY = ("event_time", "symbol", "price", "volume")
@@ -64,6 +65,36 @@ def throttle_stream(trades: DataFrame, seconds: float, ident: str = "id") -> Dat
     return out.withColumn("event_time", F.timestamp_micros("event_time")).select(*columns)
 
 
+def throttle_batches(trades: DataFrame, path: str, checkpoint: str, seconds: float, ident: str = "id", **trigger) -> StreamingQuery:
+    """The throttle for large micro-batches, such as a catch-up run in which one symbol is hot.
+
+    A tick before the end of the wait that its symbol carries over cannot pass. Once those are
+    gone, the first tick left passes, so the batch operator finishes the work in even pieces.
+    Slices of passed rows and of the carried times are written per batch id: a replayed batch
+    starts from the times of the batch before it and overwrites its own.
+    """
+    wait = F.expr(f"INTERVAL {int(round(seconds * 1_000_000)) / 1_000_000:.6f} SECONDS")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows, carried = batch, None
+        if batch_id:
+            carried = spark.read.schema(_CARRIED).parquet(f"{path}/carried/batch_id={batch_id - 1}")
+            rows = batch.join(small(carried), "symbol", "left")
+            rows = rows.where(F.col("last").isNull() | (F.col("event_time") >= F.col("last") + wait)).drop("last")
+        write_slice(throttle(rows.select(*batch.columns), seconds, ident=ident), f"{path}/passed", batch_id)
+        stored = spark.read.schema(batch.schema).parquet(f"{path}/passed/batch_id={batch_id}")
+        last = stored.select("symbol", F.col("event_time").alias("last"))
+        last = last if carried is None else last.unionByName(carried)
+        write_slice(last.groupBy("symbol").agg(F.max("last").alias("last")), f"{path}/carried", batch_id)
+
+    writer = trades.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+_CARRIED = "symbol string, last timestamp"
+
+
 LATENESS_DDL = "rows bigint, late_rows bigint, newest timestamp, watermark timestamp"
 
 

@@ -229,6 +229,7 @@ def _streams() -> dict[str, str]:
         "dedup_stream": with_(TRADES, "SELECT DISTINCT * FROM t"),
         "throttle": recursive(THROTTLE, passed),
         "throttle_stream": recursive(THROTTLE, passed),
+        "throttle_batches": recursive(THROTTLE, passed),
         "hourly_stream": _star()["hourly_summary"],
         "late_rows": with_(TRADES + """, d AS (SELECT *, CASE WHEN day(event_time) BETWEEN 11 AND 20 THEN 0 WHEN day(event_time) <= 10 THEN 1 ELSE 2 END AS batch_id FROM t),
             per AS (SELECT batch_id, MAX(event_time) AS newest FROM d GROUP BY batch_id),

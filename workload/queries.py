@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions import symbols
+from tickloom.functions.numeric import round_half_up
 from tickloom.operators import anomaly, candles as candle_ops, cleaning, numbering, scoring, series
 from tickloom.operators.throttle import throttle as throttle_rows
 from tickloom.plans import marts, realtime, star
@@ -137,9 +139,7 @@ def asset_name(spark, sf):
 
 
 def split_symbol(spark, sf):
-    from tickloom.functions.symbols import split_symbol as split
-
-    return split(fx.trades(spark, sf)).select("id", "exchange_name", "symbol_code", "base_currency", "quote_currency")
+    return symbols.split_symbol(fx.trades(spark, sf)).select("id", "exchange_name", "symbol_code", "base_currency", "quote_currency")
 
 
 # Star schema and reports
@@ -375,6 +375,13 @@ def throttle_stream(spark, sf):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def throttle_batches(spark, sf):
+    path, checkpoint = _work(spark)
+    rows = fx.trade_stream(spark, sf)
+    stateful.throttle_batches(rows, path, checkpoint, THROTTLE_SECONDS, **NOW).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/passed").drop("batch_id")
+
+
 def _flow(spark, sf):
     path, checkpoint = _work(spark)
     rollup.five_minute_stream(fx.silver_stream(spark, sf), path, checkpoint, **NOW).awaitTermination()
@@ -439,8 +446,6 @@ def minute_grid(spark, sf):
 
 
 def forecast_drift(spark, sf):
-    from tickloom.functions.numeric import round_half_up
-
     out = series.forecast_drift(_grid(spark, sf))
     return out.withColumn("forecast_value", round_half_up(F.col("forecast_value"), 4))
 
@@ -450,8 +455,6 @@ def forecast_seasonal(spark, sf):
 
 
 def forecast_fit(spark, sf):
-    from tickloom.functions.numeric import round_half_up
-
     out = series.forecast_fit(_grid(spark, sf), p=1, d=1)
     return out.select(
         "symbol",
@@ -464,8 +467,6 @@ def forecast_fit(spark, sf):
 
 
 def forecast(spark, sf):
-    from tickloom.functions.numeric import round_half_up
-
     out = series.forecast(series.forecast_fit(_grid(spark, sf), p=1, d=1))
     digits = {c: round_half_up(F.col(c), 3) for c in ("forecast_value", "lower_bound", "upper_bound")}
     return out.withColumns(digits).drop("standard_error", "confidence_level")
@@ -487,8 +488,6 @@ def anomalies(spark, sf):
 
 
 def anomaly_zscore(spark, sf):
-    from tickloom.functions.numeric import round_half_up
-
     rows = fx.silver(spark, sf)
     out = anomaly.anomaly_zscore(rows, rows, 2.0)
     return out.select("id", "symbol", round_half_up(F.col("score"), 6).alias("score"))
