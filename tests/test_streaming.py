@@ -138,6 +138,15 @@ def test_hourly_table_equals_batch(spark, inbox, trades, tmp_path):
     got = marts.hourly_summary(rollup.read_hour_cube(spark, path), dim)
     want = marts.hourly_summary(marts.hour_cube(trades), dim)
     assert sorted(got.collect()) == sorted(want.collect())
+    # Folded to one slice, the table goes on where it was.
+    folded = str(tmp_path / "folded")
+    rollup.fold_rollup(spark, path, folded)
+    more = trades.where("id < 10").withColumn("event_time", F.expr("event_time + interval 2 days"))
+    more.coalesce(1).write.mode("append").parquet(inbox)
+    rollup.hourly_stream(_stream(spark, inbox), folded, cp, **NOW).awaitTermination()
+    got = marts.hourly_summary(rollup.read_hour_cube(spark, folded), dim)
+    want = marts.hourly_summary(marts.hour_cube(trades.unionByName(more)), dim)
+    assert sorted(got.collect()) == sorted(want.collect())
 
 
 def test_five_minute_table_equals_batch(spark, inbox, trades, tmp_path):
@@ -214,6 +223,19 @@ def test_table_life_cycle(spark, trades, tmp_path):
         tables.reset_table(spark, "life", "/")
 
 
+def test_a_hot_day_is_split_on_write(spark, tmp_path):
+    rows = spark.range(0, 300_000, 1, 8).selectExpr(
+        "uuid() symbol", "timestamp_seconds(1774396800 + if(id % 3 > 0, id % 86400, id * 9)) event_time"
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        tables.by_day(cleaning.add_day_columns(rows)).write.partitionBy("year", "month", "day").parquet(str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(tmp_path / "t" / "year=2026" / "month=3" / "day=25") if f.endswith(".parquet")]
+    assert len(hot) > 2
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert tables.shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 

@@ -107,7 +107,8 @@ def by_day(trades: DataFrame) -> DataFrame:
     """Bring the rows of a day together so that it is written as few files.
 
     ``rebalance`` lets adaptive execution split a day that holds most of the rows and merge
-    days that hold few, so no task is given more than the advisory partition size.
+    days that hold few, so no task is given more than the advisory partition size. Write the
+    result directly: in a cache, or in a stream's own plan, nothing is split.
     """
     return trades.hint("rebalance", "year", "month", "day")
 

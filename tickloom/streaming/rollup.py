@@ -55,6 +55,16 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     return newest_version(read_slices(spark, path), ["bucket_start", "symbol"])
 
 
+def fold_rollup(spark: SparkSession, path: str, target: str) -> None:
+    """Write only the newest version of every group, as one slice, to a new folder.
+
+    The stream, stopped meanwhile, goes on with ``target`` and its old checkpoint: the slice has
+    the number of the last batch, and later batches have higher ones.
+    """
+    last = read_slices(spark, path).agg(F.max("batch_id")).first()[0]
+    write_slice(read_rollup(spark, path), target, last)
+
+
 def read_hour_cube(spark: SparkSession, path: str) -> DataFrame:
     """The live table in the shape of ``plans.marts.hour_cube``; every report runs on it."""
     at = F.col("bucket_start")
