@@ -29,22 +29,37 @@ def as_instant(value) -> Column:
     return F.timestamp_micros(F.lit(micros))
 
 
+def _wall_clock(text: Column, source_tz: str) -> Column:
+    """Instant of ``yyyy-MM-dd HH:mm:ss`` text by plain arithmetic.
+
+    A cast would read the text in the session zone, and appending a zone makes every row look
+    the zone up; neither is needed for a fixed shape.
+    """
+
+    def part(start: int) -> Column:
+        return F.substring(text, start, 2).cast("int")
+
+    days = F.unix_date(F.substring(text, 1, 10).try_cast("date"))
+    seconds = days.cast("bigint") * 86400 + part(12) * 3600 + part(15) * 60 + part(18)
+    at = F.timestamp_seconds(seconds)
+    return at if source_tz == "UTC" else F.to_utc_timestamp(at, source_tz)
+
+
 def parse_instant(text: Column, source_tz: str = "UTC", strict: bool = False) -> Column:
-    """Text to TIMESTAMP, NULL when it is not one.
+    """Text without surrounding blanks to TIMESTAMP, NULL when it is not one.
 
     Text without an offset is read in ``source_tz`` whatever the session zone is; text with an
     offset keeps its own; 12 to 14 digits are epoch milliseconds. ``strict`` accepts only
     ``yyyy-MM-dd HH:mm:ss``. Time-only text is refused: Spark would add today's date to it.
     """
-    text = F.btrim(text, F.lit(" \t\r\n"))
-    zone = F.lit(" " + source_tz)
+    clock = r"(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
     if strict:
-        shaped = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
-        return F.when(shaped, F.concat(text, zone).try_cast("timestamp"))
-    millis = F.timestamp_millis(text.try_cast("bigint"))
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} " + clock), _wall_clock(text, source_tz))
+    zone = F.lit(" " + source_tz)
     has_zone = text.rlike(r":\d{2}(?:\.\d+)?\s*(?:Z|[A-Z][A-Za-z]|[+-]\d)")
     return (
-        F.when(text.rlike(r"^\d{12,14}$"), millis)
+        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]" + clock), _wall_clock(text, source_tz))
+        .when(text.rlike(r"^\d{12,14}$"), F.timestamp_millis(text.try_cast("bigint")))
         .when(~text.rlike(r"^\d{4}(?:-|$)"), F.lit(None))
         .when(has_zone, text.try_cast("timestamp"))
         .when(text.contains(":"), F.concat(text, zone).try_cast("timestamp"))

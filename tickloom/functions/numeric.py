@@ -16,14 +16,20 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.coalesce(exact, F.round(value, digits))
 
 
+# JSON's bare non-numbers, which Spark hands over in quotes.
+QUOTED_NON_NUMBERS = ('"NaN"', '"Infinity"', '"+Infinity"', '"-Infinity"', '"INF"', '"+INF"', '"-INF"')
+
+
 def to_number(text: Column) -> Column:
     """Text to double, NULL when it is not a number.
 
-    JSON's bare NaN and Infinity tokens arrive quoted and are unquoted here, so that they
-    are judged as values. A trailing ``d`` or ``f`` is a number only to Java, so it is refused.
+    JSON's bare NaN and Infinity are judged as values. A trailing ``d`` or ``f`` is a number only
+    to Java, so it is refused.
     """
-    bare = F.regexp_replace(text, r'^"([+-]?(?:NaN|INF|Infinity))"$', "$1")
-    return F.when(bare.rlike(r"[0-9.][dDfF]\s*$"), F.lit(None)).otherwise(bare.try_cast("double"))
+    number = text.try_cast("double")
+    java_suffix = F.right(F.rtrim(text), F.lit(1)).isin("d", "D", "f", "F") & (F.abs(number) < float("inf"))
+    bare = F.when(text.isin(*QUOTED_NON_NUMBERS), F.btrim(text, F.lit('"')).try_cast("double"))
+    return F.when(~F.coalesce(java_suffix, F.lit(False)), F.coalesce(number, bare))
 
 
 def positive_finite(value: Column) -> Column:

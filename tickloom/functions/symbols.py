@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def strip(text: Column) -> Column:
+    """Text without surrounding white space of any kind; ``trim`` takes off blanks only."""
+    return F.btrim(text, F.lit(" \t\r\n\f\x0b"))
+
+
 def normalise(symbol: Column) -> Column:
-    """Upper case without surrounding white space of any kind."""
-    return F.upper(F.btrim(symbol, F.lit(" \t\r\n\f\x0b")))
+    return F.upper(strip(symbol))
 
 
 def exchange_name(symbol: Column) -> Column:

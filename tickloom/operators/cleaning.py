@@ -39,9 +39,9 @@ def parse_trades(
     parsed = F.from_json(
         text, schema.TRADE_TEXT, {"columnNameOfCorruptRecord": "_corrupt_record"}
     )
-    rows = messages.withColumn("_m", parsed)
+    rows = messages.withColumn("_m", parsed).withColumn("_time", symbols.strip(F.col("_m.time")))
     fields = {k: F.col(f"_m.{k}") for k in schema.REQUIRED_KEYS}
-    event_time = clock.parse_instant(fields["time"], source_tz, strict_time)
+    event_time = clock.parse_instant(F.col("_time"), source_tz, strict_time)
     price = numeric.to_number(fields["price"])
     volume = numeric.to_number(fields["volume"])
     missing = fields["time"].isNull()
@@ -62,7 +62,7 @@ def parse_trades(
         .when(F.col("event_time").isNull(), "invalid_time")
         .when(F.col("price").isNull() | F.col("volume").isNull(), "invalid_format")
     )
-    return rows.withColumn("parse_error", error).drop("_m", "_missing")
+    return rows.withColumn("parse_error", error).drop("_m", "_time", "_missing")
 
 
 def _checks(listed: Column, as_of, max_future: int, max_past: int) -> list[tuple[str, Column]]:
@@ -111,7 +111,10 @@ def classify(
     )
     if "parse_error" in rows.columns:
         reason = F.coalesce(F.col("parse_error"), reason)
-    return rows.withColumn("reject_reason", reason).drop("parse_error", "_known")
+    # A filter on the reason must not be pushed down: it would repeat the parsing of the message
+    # in every one of its terms. Nothing is pushed through a generated column.
+    columns = [c for c in rows.columns if c not in ("parse_error", "_known")]
+    return rows.select(*columns, F.explode(F.array(reason)).alias("reject_reason"))
 
 
 def accepted(classified: DataFrame) -> DataFrame:
@@ -129,10 +132,10 @@ def clean_trades(
     max_future: int = schema.MAX_FUTURE_SECONDS,
     max_past: int = schema.MAX_PAST_SECONDS,
 ) -> DataFrame:
-    """Only the rows that ``classify`` accepts, as plain filters that reach the scan."""
+    """Only the rows that ``classify`` accepts: for typed trades as plain filters that reach the scan."""
+    if "parse_error" in trades.columns:
+        return accepted(classify(trades, allowed, as_of, max_future, max_past))
     rows = _normalised(trades)
-    if "parse_error" in rows.columns:
-        rows = rows.where(F.col("parse_error").isNull()).drop("parse_error")
     if isinstance(allowed, DataFrame):
         rows = rows.join(allowed.select("symbol").distinct(), "symbol", "left_semi")
         listed = F.lit(True)
@@ -140,7 +143,7 @@ def clean_trades(
         listed = F.col("symbol").isin([s.upper() for s in allowed])
     for _, ok in _checks(listed, as_of, max_future, max_past):
         rows = rows.where(ok)
-    return rows.select(*[c for c in trades.columns if c != "parse_error"])
+    return rows.select(*trades.columns)
 
 
 def drop_exact_copies(trades: DataFrame, id_col: str = "id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schema
 from tickloom.functions import clock
+from tickloom.functions.symbols import strip
 
 
 def unpack_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -44,7 +45,7 @@ def decode_push(pushes: DataFrame, value: str = "value", arrived_at=None) -> Dat
     )
     given = F.nullif(F.col("_p.message.data"), F.lit(""))
     encoded = F.coalesce(given, F.col("_p.data"))
-    published = clock.parse_instant(F.col("_p.message.publishTime"))
+    published = clock.parse_instant(strip(F.col("_p.message.publishTime")))
     return opened.select(
         *rest,
         F.try_to_binary(encoded, F.lit("base64")).cast("string").alias("payload"),
@@ -76,7 +77,7 @@ def parse_logs(messages: DataFrame, value: str = "value") -> DataFrame:
     )
     return opened.select(
         *rest,
-        clock.parse_instant(F.col("_l.timestamp")).alias("logged_at"),
+        clock.parse_instant(strip(F.col("_l.timestamp"))).alias("logged_at"),
         F.col("_l.level").alias("level"),
         F.col("_l.component").alias("component"),
         F.col("_l.message").alias("message"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import cleaning
+from tickloom.schema import local_table
 from tickloom.sources import messages as shapes
 from tickloom.sources.tables import by_day
 from tickloom.streaming.slices import write_slice
@@ -88,15 +89,15 @@ def fan_out(
             bad = cleaning.rejected(rows).select(*keep, F.col(value).cast("string").alias("value"), "reject_reason")
             write_slice(bad, f"{root}/rejects", batch_id, partition_by=["reject_reason"])
             accepted = counts.pop(None, 0)
-            entries = [("silver", "ok", accepted, None), ("rejects", "ok", sum(counts.values()), None)]
+            entries = [("silver", "ok", accepted, ""), ("rejects", "ok", sum(counts.values()), "")]
             try:
                 # Taken from the files just written, which are split by day and size already.
                 stored = batch.sparkSession.read.schema(silver.schema).parquet(f"{root}/silver/batch_id={batch_id}")
                 write_slice(stored, lake, batch_id, fmt="json", partition_by=DAYS)
-                entries.append(("lake", "ok", accepted, None))
+                entries.append(("lake", "ok", accepted, ""))
             except Exception as failure:
                 entries.append(("lake", "failed", 0, str(failure)[:2000]))
-            ledger = batch.sparkSession.createDataFrame(entries, LEDGER_DDL)
+            ledger = local_table(batch.sparkSession, entries, LEDGER_DDL)
             write_slice(ledger.coalesce(1), f"{root}/ledger", batch_id)
         finally:
             rows.unpersist()
