@@ -37,7 +37,7 @@ def _wall_clock(text: Column, source_tz: str) -> Column:
     """
 
     def part(start: int) -> Column:
-        return F.substring(text, start, 2).cast("int")
+        return F.substring(text, start, 2).try_cast("int")
 
     days = F.unix_date(F.substring(text, 1, 10).try_cast("date"))
     seconds = days.cast("bigint") * 86400 + part(12) * 3600 + part(15) * 60 + part(18)
