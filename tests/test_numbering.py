@@ -28,6 +28,13 @@ def test_hot_value_is_spread(hot):
     assert max(r["count"] for r in sizes) < 3 * 5000 / 16
 
 
+def test_partitions_grow_with_the_rows(hot, monkeypatch):
+    from tickloom.operators import numbering
+
+    monkeypatch.setattr(numbering, "ROWS_PER_PARTITION", 100)
+    assert range_sorted(hot, ["t", "id"]).rdd.getNumPartitions() > 40
+
+
 def test_no_single_task_sort_of_the_rows(hot):
     plan = plan_of(number_rows(hot, ["t", "id"], "n"))
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from tickloom import schema
 from tickloom.operators.candles import candles
+from tickloom.operators.scoring import retrain_gate
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import tables
 
@@ -178,6 +179,11 @@ def test_time_range_prunes_partitions(stored):
     assert len(tables.prune_days(stored, "2026-03-26", "2026-03-27").inputFiles()) > 0
 
 
+def test_counting_a_table_reads_no_column(stored, spark):
+    markers = spark.createDataFrame([], "model string, row_count bigint")
+    assert "ReadSchema: struct<>" in plan_of(retrain_gate(stored, markers, "m"))
+
+
 def test_views(spark, stored, dims):
     views.register_star_views(stored, *dims)
     got = spark.sql(

@@ -13,6 +13,9 @@ from tickloom.sources import tables
 # monotonically_increasing_id keeps the partition above this bit and the row's place below it.
 _PLACE_BITS = 33
 
+# Rows one task sorts and walks; large enough to be worth a task, small enough for its memory.
+ROWS_PER_PARTITION = 4_000_000
+
 
 def range_sorted(rows: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
     """Rows in global order, cut into even partitions, with ``_part`` and ``_place``.
@@ -20,10 +23,14 @@ def range_sorted(rows: DataFrame, order: Sequence[str | Column], partitions: int
     Range bounds come from a sample of the whole order, so the rows of one hot value are spread
     over as many partitions as they need provided the order ends in a unique column. The result
     is checkpointed: bounds are drawn once and every later pass sees the same partitions, also
-    after the loss of an executor.
+    after the loss of an executor. Unless ``partitions`` is given, their number grows with the rows,
+    which are counted first: adaptive execution does not resize a range shuffle of fixed width.
     """
     order = list(order)
-    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        rows.count() // ROWS_PER_PARTITION + 1,
+    )
     placed = (
         rows.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

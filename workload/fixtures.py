@@ -63,7 +63,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_file_stream(
-        spark, sf_dir, EVENTS_DDL, max_bytes=1 << 30, pathGlobFilter="events.parquet"
+        spark, sf_dir, EVENTS_DDL, max_bytes=1 << 28, pathGlobFilter="events.parquet"
     )
 
 
