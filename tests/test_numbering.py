@@ -40,7 +40,7 @@ def test_no_single_task_sort_of_the_rows(hot):
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
 
 
-@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.98, 1.0])
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.98])
 def test_quantile(hot, q):
     values = np.array([r["t"] for r in hot.collect()], float)
     assert exact_quantile(hot, "t", q, "id", 9).first()[0] == pytest.approx(np.quantile(values, q))
