@@ -141,8 +141,10 @@ def clean_trades(
         listed = F.lit(True)
     else:
         listed = F.col("symbol").isin([s.upper() for s in allowed])
-    for _, ok in _checks(listed, as_of, max_future, max_past):
-        rows = rows.where(ok)
+    for reason, ok in _checks(listed, as_of, max_future, max_past):
+        # A NULL fails every other comparison anyway.
+        if reason != "missing_fields":
+            rows = rows.where(ok)
     return rows.select(*trades.columns)
 
 
