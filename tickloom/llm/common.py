@@ -71,3 +71,9 @@ def string_buffers(words: pa.Array) -> tuple[memoryview, np.ndarray]:
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
     data = words.buffers()[2]
     return memoryview(data if data is not None else b""), offsets
+
+
+def in_slices(make, texts: pa.Array, rows: int = 1000) -> np.ndarray:
+    """``make`` applied to some rows at a time, which bounds what it holds in memory."""
+    parts = [make(texts.slice(at, rows)) for at in range(0, len(texts), rows)]
+    return np.concatenate(parts) if parts else make(texts)
