@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import simhash, url_filter, warc
+from tickloom.llm import bpe, packing, quality, simhash, toxicity, url_filter, warc
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -20,11 +20,46 @@ def op1_url_filters(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _learnt_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that a model may be fitted on; the other fifth is held out."""
+    return _table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+
+
+def held_out(doc_id):
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+def op2_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _learnt_from(spark, sf_dir))
+    return quality.rate(docs, model).select("*", held_out(F.col("doc_id")).alias("held_out"))
+
+
+def op3_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _learnt_from(spark, sf_dir))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op4_bpe(spark, sf_dir):
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), decoded=True)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op7_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
