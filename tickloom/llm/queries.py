@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, packing, quality, simhash, toxicity, url_filter, warc
+from tickloom.llm import bpe, packing, pii, quality, simhash, toxicity, url_filter, warc
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -51,6 +51,10 @@ def op4_bpe(spark, sf_dir):
     )
 
 
+def op5_pii(spark, sf_dir):
+    return pii.replace_personal_data(_table(spark, sf_dir, "documents"), key="corpus")
+
+
 def op6_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
