@@ -64,9 +64,12 @@ def majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: Column, width: int = 3) -> Column:
     """The fingerprint of a text as a long; texts that are null or have no words have zero."""
-    def make(texts: pa.Array) -> pa.Array:
+    def some(texts: pa.Array) -> np.ndarray:
         words, offsets = common.split_words(pc.ascii_lower(pc.fill_null(texts, "")))
-        return pa.array(majority(*shingle_hashes(words, offsets, width)).view(np.int64))
+        return majority(*shingle_hashes(words, offsets, width)).view(np.int64)
+
+    def make(texts: pa.Array) -> pa.Array:
+        return pa.array(common.in_slices(some, texts))
 
     return F.arrow_udf(make, LongType())(text)
 
