@@ -35,5 +35,19 @@ FROM d
 """
 
 
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_url_filters": URL_FILTERS, "op10_warc": WARC}
+    return {"op1_url_filters": URL_FILTERS, "op8_topk": TOPK, "op10_warc": WARC}
