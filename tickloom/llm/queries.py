@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, packing, pii, quality, simhash, topk, toxicity, url_filter, warc
+from tickloom.llm import bpe, neardup, packing, pii, quality, simhash, topk, toxicity, url_filter, warc
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -69,6 +69,10 @@ def op8_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.where("id % 50 = 0"))
 
 
+def op9_neardup(spark, sf_dir):
+    return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
