@@ -84,4 +84,4 @@ def pipeline(spark, sf_dir):
 
 
 def all_queries():
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    return {name: f for name, f in globals().items() if name.startswith("op") or name == "pipeline"}

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -202,3 +202,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def hex_fingerprint(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row of ``docs``, all columns, of each group of near-duplicates: that with the smallest id.
+
+    Rows with one id are one document. Rows without an id go by their text's hash, behind all ids.
+    """
+    name, rank = common.fresh(docs, "name", "rank")
+    unnamed = F.shiftrightunsigned(F.xxhash64(text_col), 2).bitwiseOR(F.lit(1 << 62))
+    named = docs.withColumn(name, F.coalesce(F.col(id_col).cast("long"), unnamed))
+    groups = near_duplicates(named, name, text_col, width, max_bits)
+    chosen = groups.select(F.col("component_id").alias(name)).distinct()
+    same = Window.partitionBy(name).orderBy(F.xxhash64(text_col))
+    kept = named.join(chosen, name, "left_semi").withColumn(rank, F.row_number().over(same))
+    return kept.where(F.col(rank) == 1).select(*docs.columns)
