@@ -35,10 +35,10 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = words_to_ids.WordStore(path)
+        store = words_to_ids.WordStore.of_worker(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 3000):
+                part = batch.slice(at, 3000)
                 offsets, flat = store.texts_to_ids(part.column("text"))
                 rows, number, start, length, crc, lists = [], [], [], [], [], []
                 for i in range(part.num_rows):

@@ -88,23 +88,44 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class WordStore:
-    """Ids of the words met so far in a task; emptied when it holds ``limit`` words."""
+    """Ids of the words met so far; one per worker and tokenizer, so that tasks share it.
 
-    def __init__(self, path: str | None = None, limit: int = 200_000):
-        self.path, self.limit = path, limit
-        self.clear()
+    Beyond ``limit`` words those met once are forgotten, or all but the more frequent half if that is too little.
+    """
 
-    def clear(self) -> None:
+    def __init__(self, path: str | None = None, limit: int = 600_000):
+        self.path, self.limit = path, limit
         self.place: dict[str, int] = {}
         self.counts, self.starts, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.met = np.empty(0, np.int64)
+
+    @staticmethod
+    def of_worker(path: str | None = None) -> WordStore:
+        cache = common.worker_cache()
+        stores = cache.__dict__.setdefault("stores", {})
+        if path not in stores:
+            stores[path] = WordStore(path)
+        return stores[path]
+
+    def forget(self) -> None:
+        kept = np.flatnonzero(self.met > 1)
+        if len(kept) > self.limit // 2:
+            kept = np.sort(np.argsort(-self.met, kind="stable")[: self.limit // 2])
+        chosen = np.zeros(len(self.met), bool)
+        chosen[kept] = True
+        self.flat = self.flat[spread(self.starts[kept], self.counts[kept])]
+        self.counts, self.met = self.counts[kept], self.met[kept]
+        self.starts = np.cumsum(self.counts) - self.counts
+        names = [w for w, i in self.place.items() if chosen[i]]  # in the order of their places
+        self.place = dict(zip(names, range(len(names)), strict=True))
 
     def texts_to_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets of the texts' ids, all ids in a row)."""
         words, offsets = common.split_words(texts)
         coded = words.dictionary_encode()
         if len(self.place) > self.limit:
-            self.clear()
-        names = coded.dictionary.to_pylist()
+            self.forget()
+        names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         new = [w for w in names if w not in self.place]
         if new:
             counts, flat = encode_words(pa.array(new, pa.large_string()), self.path)
@@ -113,8 +134,10 @@ class WordStore:
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
             self.flat = np.concatenate([self.flat, flat])
-        where = np.fromiter((self.place[w] for w in names), np.int64, len(names))[coded.indices.to_numpy()]
-        return gather(where, offsets, self.counts, self.starts, self.flat)
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        at = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+        self.met[at] += np.bincount(code, minlength=len(names))
+        return gather(at[code], offsets, self.counts, self.starts, self.flat)
 
 
 def gather(where: np.ndarray, offsets: np.ndarray, counts: np.ndarray, starts: np.ndarray,
