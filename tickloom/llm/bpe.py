@@ -23,22 +23,40 @@ from pyspark.sql.types import StringType
 from tickloom.llm import common, words_to_ids
 
 SLICE = 256  # documents turned into ids at a time
-PACKED = "words binary, n long, raw long"
 
 
-def _pack(words: pa.Array) -> tuple[bytes, int, int]:
-    raw = b"\n".join(pc.cast(words, pa.large_binary()).to_pylist())
-    return pa.compress(raw, codec="zstd", asbytes=True), len(words), len(raw)
+def _squeeze(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
 
 
-def _unpack(blob: bytes, raw: int) -> pa.Array:
-    return pa.array(pa.decompress(blob, raw, codec="zstd", asbytes=True).decode().split("\n"), pa.large_string())
+def _numbers(blob: bytes, n: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, n * np.dtype(kind).itemsize, codec="zstd"), kind)
 
 
-def _distinct_words(texts: pa.ChunkedArray) -> pa.Array:
-    found = [common.split_words(part.slice(at, SLICE))[0].unique()
-             for part in texts.chunks for at in range(0, len(part), SLICE)]
-    return pa.chunked_array(found, pa.large_string()).unique() if found else pa.array([], pa.large_string())
+def _listed(words: pa.Array, buckets: int) -> list[tuple[int, pa.Array]]:
+    """(bucket, its words) of distinct words, in an order that depends on the words alone."""
+    words = words.take(pc.array_sort_indices(words))
+    bucket = np.fromiter((xxhash.xxh64_intdigest(w) % buckets for w in pc.cast(words, pa.large_binary()).to_pylist()),
+                         np.int64, len(words))
+    order = np.argsort(bucket, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+    return [(int(bucket[part[0]]), words.take(pa.array(part))) for part in parts if len(part)]
+
+
+def _texts(rows: list[dict]) -> Iterator[pa.Array]:
+    """The packed texts, some at a time."""
+    for row in rows:
+        sizes = _numbers(row["sizes"], row["n"], np.int32).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = pa.decompress(row["texts"], int(ends[-1]), codec="zstd") if ends[-1] else pa.py_buffer(b"")
+        texts = pa.LargeStringArray.from_buffers(row["n"], pa.py_buffer(ends), data)
+        for at in range(0, len(texts), SLICE):
+            yield texts.slice(at, SLICE)
+
+
+def _distinct_words(rows: list[dict]) -> pa.Array:
+    found = [common.split_words(texts)[0].unique() for texts in _texts(rows)]
+    return pa.chunked_array(found, pa.large_string()).unique()
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -53,72 +71,83 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.pmod(F.xxhash64(F.col(id_col)), F.lit(2 * n)).cast("int").alias("block"))
 
+    def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            cut = [p for p in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(p)]
+            sizes, blobs = [], []
+            for part in cut:
+                data, ends = common.string_buffers(
+                    pc.fill_null(batch.column("text").take(pa.array(part)), "").cast(pa.large_string()))
+                sizes.append(_squeeze(np.diff(ends).astype(np.int32).tobytes()))
+                blobs.append(_squeeze(bytes(data[ends[0]:ends[-1]])))
+            starts = np.concatenate([[0], np.cumsum([len(p) for p in cut])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(starts), batch.column("id").take(pa.array(order)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block[p[0]] for p in cut], pa.int32()), ids, pa.array([len(p) for p in cut], pa.int64()),
+                 pa.array(sizes, pa.binary()), pa.array(blobs, pa.binary())], names=["block", "ids", "n", "sizes", "texts"])
+
     def list_words(key: tuple, table: pa.Table) -> pa.Table:
-        words = _distinct_words(table["text"])
-        bucket = np.fromiter((xxhash.xxh64_intdigest(w) % n for w in pc.cast(words, pa.large_binary()).to_pylist()),
-                             np.int64, len(words))
-        order = np.argsort(bucket, kind="stable")
         rows = []
-        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            if len(part):
-                blob, count, raw = _pack(words.take(pa.array(part)))
-                rows.append({"bucket": int(bucket[part[0]]), "block": key[0].as_py(), "words": blob, "n": count, "raw": raw})
+        for bucket, words in _listed(_distinct_words(table.to_pylist()), n):
+            raw = b"\n".join(pc.cast(words, pa.large_binary()).to_pylist())
+            rows.append({"bucket": bucket, "block": key[0].as_py(), "words": _squeeze(raw), "raw": len(raw)})
         return pa.Table.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary()),
-                                                            ("n", pa.int64()), ("raw", pa.int64())]))
+                                                            ("raw", pa.int64())]))
 
     def encode_bucket(table: pa.Table) -> pa.Table:
-        lists = [_unpack(b, r) for b, r in zip(table["words"].to_pylist(), table["raw"].to_pylist(), strict=True)]
+        lists = [pa.array(pa.decompress(r["words"], r["raw"], codec="zstd", asbytes=True).decode().split("\n"), pa.large_string())
+                 for r in table.select(["words", "raw"]).to_pylist()]
         coded = pa.chunked_array(lists, pa.large_string()).combine_chunks().dictionary_encode()
         counts, flat = words_to_ids.encode_words(coded.dictionary, path)
         starts = np.cumsum(counts) - counts
         code, at, rows = coded.indices.to_numpy(), 0, []
-        for block, blob, raw, words in zip(table["block"].to_pylist(), table["words"].to_pylist(), table["raw"].to_pylist(),
-                                           lists, strict=True):
+        for bucket, block, words in zip(table["bucket"].to_pylist(), table["block"].to_pylist(), lists, strict=True):
             mine = code[at:at + len(words)]
             at += len(words)
             ids = flat[words_to_ids.spread(starts[mine], counts[mine])]
-            rows.append({"block": block, "words": blob, "n": len(words), "raw": raw, "total": len(ids),
-                         "counts": pa.compress(counts[mine].astype(np.int32).tobytes(), codec="zstd", asbytes=True),
-                         "ids": pa.compress(ids.astype(np.int32).tobytes(), codec="zstd", asbytes=True)})
+            rows.append({"block": block, "bucket": bucket, "words": len(words), "total": len(ids),
+                         "counts": _squeeze(counts[mine].astype(np.int32).tobytes()),
+                         "low": _squeeze((ids & 0xFFFF).astype(np.uint16).tobytes()),
+                         "high": _squeeze((ids >> 16).astype(np.uint16).tobytes())})
         return pa.Table.from_pylist(rows, schema=pa.schema([
-            ("block", pa.int32()), ("words", pa.binary()), ("n", pa.int64()), ("raw", pa.int64()), ("total", pa.int64()),
-            ("counts", pa.binary()), ("ids", pa.binary())]))
+            ("block", pa.int32()), ("bucket", pa.int32()), ("words", pa.int64()), ("total", pa.int64()),
+            ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary())]))
 
     def join_back(left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = right.to_pylist()
-        words = pa.chunked_array([_unpack(r["words"], r["raw"]) for r in table], pa.large_string())
-        words = words.combine_chunks() if len(words) else pa.array([], pa.large_string())
-
-        def numbers(name: str, size: str) -> np.ndarray:
-            parts = [np.frombuffer(pa.decompress(r[name], 4 * r[size], codec="zstd"), np.int32) for r in table]
-            return np.concatenate(parts) if parts else np.empty(0, np.int32)
-
-        counts, flat = numbers("counts", "n").astype(np.int64), numbers("ids", "total")
+        packed = left.to_pylist()
+        listed = _listed(_distinct_words(packed), n)
+        known = {r["bucket"]: r for r in right.to_pylist()}
+        words = pa.chunked_array([w for _, w in listed], pa.large_string()).combine_chunks()
+        rows = [known[bucket] for bucket, _ in listed]
+        counts = np.concatenate([np.empty(0, np.int32), *(_numbers(r["counts"], r["words"], np.int32) for r in rows)]).astype(np.int64)
+        flat = np.concatenate([np.empty(0, np.int32), *(
+            _numbers(r["low"], r["total"], np.uint16) + _numbers(r["high"], r["total"], np.uint16).astype(np.int32) * 65536 for r in rows)])
         starts = np.cumsum(counts) - counts
         pieces = pa.array(words_to_ids.load(path)[2]) if decoded else None
-        for chunk in left.combine_chunks().to_batches():
-            for at in range(0, chunk.num_rows, SLICE):
-                part = chunk.slice(at, SLICE)
-                own, offsets = common.split_words(part.column("text"))
-                coded = own.dictionary_encode()
-                place = pc.index_in(coded.dictionary, value_set=words).to_numpy(zero_copy_only=False).astype(np.int64)
-                ends, ids = words_to_ids.gather(place[coded.indices.to_numpy()], offsets, counts, starts, flat)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                columns = [part.column("id"), lists] + ([join_pieces(lists, pieces).cast(pa.string())] if decoded else [])
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][:len(columns)])
+        names = left["ids"].combine_chunks().flatten()
+        done = 0
+        for texts in _texts(packed):
+            own, offsets = common.split_words(texts)
+            coded = own.dictionary_encode()
+            place = pc.index_in(coded.dictionary, value_set=words).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, ids = words_to_ids.gather(place[coded.indices.to_numpy()], offsets, counts, starts, flat)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+            columns = [names.slice(done, len(texts)), lists] + ([join_pieces(lists, pieces).cast(pa.string())] if decoded else [])
+            done += len(texts)
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][:len(columns)])
 
     def join_table(left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(join_back(left, right)), schema=out_schema(left))
-
-    def out_schema(left: pa.Table) -> pa.Schema:
-        fields = [("id", left.schema.field("id").type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-        return pa.schema(fields[:2 + decoded])
+        fields = [("id", left.schema.field("ids").type.value_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
+        return pa.Table.from_batches(list(join_back(left, right)), schema=pa.schema(fields[:2 + decoded]))
 
-    listed = dealt.groupBy("block").applyInArrow(list_words, f"bucket int, block int, {PACKED}")
+    packed = dealt.mapInArrow(pack_texts, f"block int, ids array<{kind}>, n long, sizes binary, texts binary")
+    listed = packed.groupBy("block").applyInArrow(list_words, "bucket int, block int, words binary, raw long")
     known = listed.groupBy("bucket").applyInArrow(
-        encode_bucket, f"block int, {PACKED}, total long, counts binary, ids binary")
+        encode_bucket, "block int, bucket int, words long, total long, counts binary, low binary, high binary")
     result = f"id {kind}, ids array<int>" + (", decoded string" if decoded else "")
-    joined = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(join_table, result)
+    joined = packed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(join_table, result)
     return joined.withColumnRenamed("id", id_col)
 
 
