@@ -5,6 +5,8 @@ import numpy as np
 import pytest
 import xxhash
 
+import llm_helpers  # noqa: F401
+
 from tickloom.llm import components, simhash
 
 

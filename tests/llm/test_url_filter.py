@@ -1,6 +1,8 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import llm_helpers  # noqa: F401
+
 from tickloom.llm import url_filter
 from tickloom.llm.queries import URL_RULES
 

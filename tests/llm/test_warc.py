@@ -1,6 +1,8 @@
 import gzip
 import hashlib
 
+from llm_helpers import rows_of
+
 from tickloom.llm import warc
 
 PAGES = "page_id long, url string, html string"
@@ -17,10 +19,6 @@ def brute(pages):
     return sorted(out, key=repr)
 
 
-def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
 LONG = "é<p>" * 400
 CASES = [(1, "http://a/", LONG), (5, "http://b/", LONG), (3, None, LONG), (None, "http://n/", LONG), (7, "http://c/\r\nX: y", "short"),
          (8, "http://d/", "short"), (9, "http://e/", None), (10, "http://f/", ""), (11, "http://g/", "x" * 300_000),
