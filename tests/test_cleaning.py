@@ -236,3 +236,11 @@ def test_broker_options_and_ids(spark):
 
 def test_symbol_setting():
     assert schema.parse_symbol_list(" A:B , ,C:D,") == ["A:B", "C:D"]
+
+
+def test_a_list_in_a_table_is_normalised_like_any_other(spark, make_trades):
+    rows = make_trades([(1, "2026-03-25 01:00:00", "BINANCE:BTCUSDT", 1.0, 1.0)])
+    listed = spark.createDataFrame([(" binance:btcusdt\t",)], "symbol string")
+    for allowed in (listed, [" binance:btcusdt\t"]):
+        assert cleaning.clean_trades(rows, allowed=allowed, as_of="2026-03-25 02:00:00").count() == 1
+        assert cleaning.accepted(cleaning.classify(rows, allowed=allowed, as_of="2026-03-25 02:00:00")).count() == 1

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from tickloom import schema
 from tickloom.operators.candles import candles
-from tickloom.operators.scoring import retrain_gate
+from tickloom.operators.scoring import gate, retrain_gate
+from tickloom.operators.series import minute_prices
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import tables
 
@@ -174,8 +175,10 @@ def test_time_range_prunes_partitions(stored):
     rows = tables.read_range(stored, "2026-03-25 00:00:00", "2026-03-26 00:00:00")
     assert "PartitionFilters: [isnotnull(year" in plan_of(rows)
     assert sorted(r["id"] for r in rows.collect()) == [1, 2, 3]
-    assert "PartitionFilters: [isnotnull(year" in plan_of(realtime.last_hour(stored, "2026-03-25 17:00:00"))
-    assert "PartitionFilters: [isnotnull(year" in plan_of(realtime.last_hour(stored))
+    bound = {"max_past": schema.MAX_PAST_SECONDS}
+    assert "PartitionFilters: [isnotnull(year" in plan_of(realtime.last_hour(stored, "2026-03-25 17:00:00", **bound))
+    assert "PartitionFilters: [isnotnull(year" in plan_of(realtime.last_hour(stored, **bound))
+    assert "PartitionFilters" not in plan_of(realtime.last_hour(stored, "2026-03-25 17:00:00"))
     assert len(tables.prune_days(stored, "2026-03-26", "2026-03-27").inputFiles()) > 0
 
 
@@ -199,3 +202,38 @@ def test_views(spark, stored, dims):
     assert spark.sql("SELECT Tong_Tien_USD FROM vw_1_ti_trong_dong_tien_usd_1h").first()[0] == 590.0
     for name, columns in views.DASHBOARD_NAMES.items():
         assert spark.table(name).columns == list(columns)
+
+
+def test_sample_counts_rows_without_an_exchange(spark, make_trades):
+    """The newest of three rows has an exchange that is not listed: it has a number but is not shown."""
+    rows = make_trades([(1, "2026-03-25 01:00:00", "BINANCE:BTCUSDT", 1.0, 1.0), (2, "2026-03-25 02:00:00", "BINANCE:BTCUSDT", 2.0, 1.0),
+                        (3, "2026-03-25 03:00:00", "OTHER:BTCUSDT", 3.0, 1.0)])
+    seeds = schema.dim_symbol(spark)
+    other = seeds.where("symbol = 'BINANCE:BTCUSDT'").withColumn("symbol", F.lit("OTHER:BTCUSDT")).withColumn("symbol_key", F.lit(9))
+    got = marts.star_sample(rows, seeds.unionByName(other), schema.dim_exchange(spark))
+    assert sorted((r["trade_id"], r["price"]) for r in got.collect()) == [(1, 1.0), (2, 2.0)]
+
+
+def test_gate_takes_the_newest_marker_and_notices_a_reset(spark):
+    ddl = "model string, row_count bigint, trained_at timestamp"
+    day = dt.datetime(2026, 3, 1)
+    markers = spark.createDataFrame([("m", 1000, day), ("m", 100, day.replace(day=5)), ("x", 9, day.replace(day=9)), ("m", 7, None)], ddl)
+
+    def judged(n):
+        row = gate(spark.createDataFrame([(n,)], "row_count bigint"), markers, "m", 50).first()
+        return row["rows_at_training"], row["new_rows"], row["should_train"]
+
+    assert judged(500) == (100, 400, True)
+    assert judged(120) == (100, 20, False)
+    assert judged(60) == (0, 60, True)
+
+
+def test_first_and_last_rows_are_hashed_not_sorted(spark, make_trades):
+    rows = make_trades([(7, "2026-03-25 01:00:00", "A", 1.0, 1.0), (-3, "2026-03-25 01:00:00", "A", 2.0, 1.0),
+                        (None, "2026-03-25 01:00:00", "A", 3.0, 1.0), (2**63 - 1, "2026-03-25 01:00:00", "A", 4.0, 1.0)])
+    for df in (candles(rows, 3600), minute_prices(rows)):
+        assert "SortAggregate" not in plan_of(df) and "HashAggregate" in plan_of(df)
+    row = candles(rows, 3600).first()
+    assert (row["open"], row["close"]) == (3.0, 4.0)
+    text = rows.withColumn("id", F.col("id").cast("string"))
+    assert candles(text, 3600).first()["close"] == 4.0  # "9..." is the greatest text

@@ -79,6 +79,9 @@ def _run_fan_out(spark, inbox, root, checkpoint, **kw):
     return query
 
 
+REJECTS_DDL = "id bigint, value string, reject_reason string"
+
+
 def _ids(rows):
     return sorted(r["id"] for r in rows.select("id").collect())
 
@@ -86,7 +89,8 @@ def _ids(rows):
 def test_fan_out_keeps_every_row_and_replays_without_copies(spark, inbox, tmp_path):
     root = str(tmp_path / "out")
     _run_fan_out(spark, inbox, root, str(tmp_path / "cp"))
-    silver, rejects = slices.read_slices(spark, f"{root}/silver"), slices.read_slices(spark, f"{root}/rejects")
+    silver = slices.read_slices(spark, f"{root}/silver", "id bigint, " + ingest.SILVER_DDL)
+    rejects = slices.read_slices(spark, f"{root}/rejects", REJECTS_DDL)
     ids = _ids(silver)
     assert sorted(ids + _ids(rejects)) == list(range(600))
     assert {r["reject_reason"] for r in rejects.select("reject_reason").distinct().collect()} == {
@@ -94,16 +98,15 @@ def test_fan_out_keeps_every_row_and_replays_without_copies(spark, inbox, tmp_pa
     }
     names = {r["symbol"]: r["asset_name"] for r in silver.select("symbol", "asset_name").distinct().collect()}
     assert names == {BTC: "Bitcoin", ETH: ETH}
-    ledger = slices.read_slices(spark, f"{root}/ledger")
+    ledger = ingest.read_ledger(spark, root)
     totals = {r["sink"]: r["n"] for r in ledger.groupBy("sink").agg(F.sum("rows").alias("n")).collect()}
     assert totals == {"silver": len(ids), "rejects": 600 - len(ids), "lake": len(ids)}
     # A stream that lost its checkpoint delivers the same batches once more.
     _run_fan_out(spark, inbox, root, str(tmp_path / "cp_lost"))
-    ledger = slices.read_slices(spark, f"{root}/ledger")
-    assert _ids(slices.read_slices(spark, f"{root}/silver")) == ids
-    assert _ids(slices.committed(slices.read_slices(spark, f"{root}/silver"), ledger)) == ids
+    assert _ids(slices.read_slices(spark, f"{root}/silver", "id bigint, " + ingest.SILVER_DDL)) == ids
+    assert _ids(ingest.read_silver(spark, root, "id bigint")) == ids
     markers = spark.createDataFrame([("m", 100)], "model string, row_count bigint")
-    row = gate(count_from_ledger(slices.read_slices(spark, f"{root}/ledger")), markers, "m", len(ids) - 100).first()
+    row = gate(count_from_ledger(ingest.read_ledger(spark, root)), markers, "m", len(ids) - 100).first()
     assert row["should_train"] and row["new_rows"] == len(ids) - 100
 
 
@@ -111,7 +114,7 @@ def test_failure_of_the_second_sink_is_recorded_and_of_the_first_is_raised(spark
     (tmp_path / "blocked").write_text("a file where a folder should be")
     root = str(tmp_path / "out")
     _run_fan_out(spark, inbox, root, str(tmp_path / "cp"), lake_path=str(tmp_path / "blocked"))
-    ledger = slices.read_slices(spark, f"{root}/ledger")
+    ledger = ingest.read_ledger(spark, root)
     assert {(r["sink"], r["status"]) for r in ledger.collect()} == {("silver", "ok"), ("rejects", "ok"), ("lake", "failed")}
     assert all(r["error"] for r in ledger.where("sink = 'lake'").collect())
     with pytest.raises(Exception):
@@ -121,14 +124,33 @@ def test_failure_of_the_second_sink_is_recorded_and_of_the_first_is_raised(spark
 def test_compaction(spark, inbox, tmp_path):
     root = str(tmp_path / "out")
     _run_fan_out(spark, inbox, root, str(tmp_path / "cp"))
-    before = slices.read_slices(spark, f"{root}/silver")
-    after = tables.compact(spark, f"{root}/silver", f"{root}/compacted")
-    assert _ids(after) == _ids(before)
-    assert len(after.inputFiles()) < len(before.inputFiles())
-    one = tables.compact(spark, f"{root}/silver", f"{root}/one_day", "2026-03-25", "2026-03-25")
+    before = ingest.read_silver(spark, root, "id bigint")
+    files, ids = len(before.inputFiles()), _ids(before)
+    last = ingest.compact_silver(spark, root, "id bigint")
+    assert last == before.agg(F.max("batch_id")).first()[0] - 1 and ingest.compact_silver(spark, root, "id bigint") == last
+    after = ingest.read_silver(spark, root, "id bigint")
+    assert _ids(after) == ids
+    assert len(spark.read.parquet(f"{root}/compacted/upto={last}").inputFiles()) < files / 2
+    # A slice without an entry in the ledger is still being written.
+    slices.write_slice(before.drop("batch_id").limit(5), f"{root}/silver", 99, partition_by=ingest.DAYS)
+    assert _ids(ingest.read_silver(spark, root, "id bigint")) == ids and ingest.compact_silver(spark, root, "id bigint") == last
+    tables.compact(before, f"{root}/one_day", "2026-03-25", "2026-03-25")
+    one = spark.read.parquet(f"{root}/one_day")
     assert {r["day"] for r in one.select("day").distinct().collect()} == {25}
 
 
+def test_repair_of_the_second_sink(spark, inbox, tmp_path):
+    blocked, root = tmp_path / "lake", str(tmp_path / "out")
+    blocked.write_text("a file where a folder should be")
+    _run_fan_out(spark, inbox, root, str(tmp_path / "cp"), lake_path=str(blocked))
+    blocked.unlink()
+    failed = ingest.repair_lake(spark, root, str(blocked), "id bigint")
+    assert failed and ingest.repair_lake(spark, root, str(blocked), "id bigint") == []
+    lake = slices.read_slices(spark, str(blocked), "id bigint", "json")
+    assert _ids(lake) == _ids(ingest.read_silver(spark, root, "id bigint"))
+    assert {r["status"] for r in ingest.read_ledger(spark, root).collect()} == {"ok"}
+
+
 def test_hourly_table_equals_batch(spark, inbox, trades, tmp_path):
     path, cp = str(tmp_path / "hours"), str(tmp_path / "cp")
     query = rollup.hourly_stream(_stream(spark, inbox), path, cp, **NOW)
@@ -138,15 +160,29 @@ def test_hourly_table_equals_batch(spark, inbox, trades, tmp_path):
     got = marts.hourly_summary(rollup.read_hour_cube(spark, path), dim)
     want = marts.hourly_summary(marts.hour_cube(trades), dim)
     assert sorted(got.collect()) == sorted(want.collect())
-    # Folded to one slice, the table goes on where it was.
-    folded = str(tmp_path / "folded")
-    rollup.fold_rollup(spark, path, folded)
+    # Folded, the table goes on where it was.
+    assert [rollup.fold_rollup(spark, path, rollup.CUBE_DDL) for _ in range(2)] == [2, 2]
     more = trades.where("id < 10").withColumn("event_time", F.expr("event_time + interval 2 days"))
     more.coalesce(1).write.mode("append").parquet(inbox)
-    rollup.hourly_stream(_stream(spark, inbox), folded, cp, **NOW).awaitTermination()
-    got = marts.hourly_summary(rollup.read_hour_cube(spark, folded), dim)
+    rollup.hourly_stream(_stream(spark, inbox), path, cp, **NOW).awaitTermination()
     want = marts.hourly_summary(marts.hour_cube(trades.unionByName(more)), dim)
-    assert sorted(got.collect()) == sorted(want.collect())
+    for fold in (None, 3):
+        assert fold is None or rollup.fold_rollup(spark, path, rollup.CUBE_DDL) == fold
+        got = marts.hourly_summary(rollup.read_hour_cube(spark, path), dim)
+        assert sorted(got.collect()) == sorted(want.collect())
+    assert not os.path.exists(f"{path}/slices/batch_id=0") and os.path.exists(f"{path}/slices/batch_id=4")
+
+
+def test_summaries_out_of_order_with_restart_and_replay(spark, trades, tmp_path):
+    """Half a day arrives last; then the stream loses its checkpoint and delivers all once more."""
+    inbox, path = str(tmp_path / "inbox"), str(tmp_path / "flow")
+    want = sorted(rollup.bucketed(trades, "5 minutes", rollup.flow_measures()).select(*rollup.KEYS, "n").collect())
+    for low, high in ((300, 449), (450, 599), (0, 299)):
+        trades.where(F.col("id").between(low, high)).coalesce(1).write.mode("append").parquet(inbox)
+        rollup.five_minute_stream(_stream(spark, inbox), path, str(tmp_path / "cp"), **NOW).awaitTermination()
+    assert sorted(rollup.read_rollup(spark, path).select(*rollup.KEYS, "n").collect()) == want
+    rollup.five_minute_stream(_stream(spark, inbox), path, str(tmp_path / "lost"), **NOW).awaitTermination()
+    assert sorted(rollup.read_rollup(spark, path).select(*rollup.KEYS, "n").collect()) == want
 
 
 def test_five_minute_table_equals_batch(spark, inbox, trades, tmp_path):
@@ -163,21 +199,30 @@ def test_deduplication_across_batches(spark, trades, tmp_path):
     inbox = str(tmp_path / "inbox")
     for n in range(5):
         trades.where(F.col("id").between((n - 1) * 150, n * 150 + 149)).coalesce(1).write.mode("append").parquet(inbox)
-    rows = stateful.dedup_stream(_stream(spark, inbox), delay="3 days")
-    ingest.append_files(rows, str(tmp_path / "out"), str(tmp_path / "cp"), partition_by=(), **NOW).awaitTermination()
-    assert _ids(spark.read.parquet(str(tmp_path / "out"))) == list(range(600))
+    out = str(tmp_path / "out")
+    for cp in ("cp", "cp_lost"):  # and once more after the checkpoint is lost
+        stateful.dedup_batches(_stream(spark, inbox), out, str(tmp_path / cp), **NOW).awaitTermination()
+        assert _ids(stateful.read_deduplicated(spark, out, trades)) == list(range(600))
+
+
+def test_late_originals_are_kept(spark, trades, tmp_path):
+    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
+    for part in ("id >= 300", "id < 300", "id % 7 = 0"):
+        trades.where(part).coalesce(1).write.mode("append").parquet(inbox)
+        stateful.dedup_batches(_stream(spark, inbox), out, str(tmp_path / "cp"), **NOW).awaitTermination()
+    assert _ids(stateful.read_deduplicated(spark, out, trades)) == list(range(600))
 
 
 @pytest.mark.parametrize("seconds", [700, 5000])
 def test_throttle_stream_equals_batch_with_a_restart(spark, trades, tmp_path, seconds):
-    stateful.use_rocksdb(spark)
     inbox, out, cp = (str(tmp_path / n) for n in ("inbox", "out", "cp"))
     for lo, hi in ((0, 299), (300, 599)):
         for half in (lo, lo + 150):
             trades.where(F.col("id").between(half, min(half + 149, hi))).coalesce(1).write.mode("append").parquet(inbox)
-        rows = stateful.throttle_stream(_stream(spark, inbox), seconds)
-        query = ingest.append_files(rows, out, cp, partition_by=(), **NOW)
-        query.awaitTermination()
+        with stateful.rocksdb(spark):
+            rows = stateful.throttle_stream(_stream(spark, inbox), seconds)
+            query = ingest.append_files(rows, out, cp, partition_by=(), **NOW)
+            query.awaitTermination()
         assert len(_batches(query)) == 2
     assert _ids(spark.read.parquet(out)) == _ids(batch.throttle(trades, seconds))
 
@@ -190,9 +235,9 @@ def test_throttle_of_large_batches_with_restart_and_replay(spark, trades, tmp_pa
         if n % 2:
             stateful.throttle_batches(_stream(spark, inbox), out, cp, seconds, **NOW).awaitTermination()
     want = _ids(batch.throttle(trades, seconds))
-    assert _ids(slices.read_slices(spark, f"{out}/passed")) == want
+    assert _ids(slices.read_slices(spark, f"{out}/passed", trades.schema)) == want
     stateful.throttle_batches(_stream(spark, inbox), out, cp + "_lost", seconds, **NOW).awaitTermination()
-    assert _ids(slices.read_slices(spark, f"{out}/passed")) == want
+    assert _ids(slices.read_slices(spark, f"{out}/passed", trades.schema)) == want
 
 
 def test_lateness(spark, trades, tmp_path):
@@ -201,7 +246,7 @@ def test_lateness(spark, trades, tmp_path):
         part.coalesce(1).write.mode("append").parquet(inbox)
     query = stateful.lateness_stream(_stream(spark, inbox), path, str(tmp_path / "cp"), delay_seconds=240 * 160, **NOW)
     query.awaitTermination()
-    rows = slices.read_slices(spark, path).orderBy("batch_id").collect()
+    rows = slices.read_slices(spark, path, stateful.LATENESS_DDL).orderBy("batch_id").collect()
     # The mark after the first file is 160 ticks before tick 449.
     assert [(r["rows"], r["late_rows"]) for r in rows] == [(150, 0), (300, 289), (150, 0)]
     assert rows[0]["watermark"] is None
@@ -247,6 +292,6 @@ def test_messages_survive_the_ledger_of_a_bad_batch(spark, tmp_path):
     spark.createDataFrame(bad, "id bigint, value string").write.parquet(inbox)
     stream = read_file_stream(spark, inbox, "id bigint, value string")
     ingest.fan_out(stream, root, str(tmp_path / "cp"), {}, keep=["id"], trigger=NOW).awaitTermination()
-    assert slices.read_slices(spark, f"{root}/rejects").count() == 5
-    ledger = {r["sink"]: r["rows"] for r in slices.read_slices(spark, f"{root}/ledger").collect()}
+    assert slices.read_slices(spark, f"{root}/rejects", REJECTS_DDL).count() == 5
+    ledger = {r["sink"]: r["rows"] for r in ingest.read_ledger(spark, root).collect()}
     assert ledger == {"silver": 0, "rejects": 5, "lake": 0}

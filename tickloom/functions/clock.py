@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
+from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Hour limits (first hour, last hour) of the sessions and day periods.
@@ -104,6 +106,20 @@ def day_period(hour: Column) -> Column:
     return _by_hour(hour, PERIODS)
 
 
+def moment_key(rows: DataFrame, when: str, ident: str | Sequence[str]) -> Column:
+    """An ordering key of (time, id) to find a group's first or last row by.
+
+    With one integer id it is a single number, which keeps an aggregation buffer at a fixed width, so
+    Spark hashes; several ids, or text, make a struct, and Spark sorts. Null ids count as the smallest.
+    """
+    names = [ident] if isinstance(ident, str) else list(ident)
+    integer = ("tinyint", "smallint", "int", "bigint")
+    if len(names) == 1 and rows.schema[names[0]].dataType.simpleString() in integer:
+        place = F.coalesce(F.col(names[0]).cast("decimal(19,0)"), F.lit(Decimal(-(2**63) - 1)))
+        return (F.unix_micros(when).cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19)) + place).cast("decimal(38,0)")
+    return F.struct(when, *names)
+
+
 def within(when: Column, as_of, seconds: int) -> Column:
     """as_of - seconds <= when <= as_of."""
     now = as_instant(as_of)

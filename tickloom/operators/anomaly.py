@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import clock
 from tickloom.operators.numbering import exact_quantile
-from tickloom.sources.tables import materialise
 
 
 def recent(trades: DataFrame, as_of=None, seconds: int = 86400) -> DataFrame:
@@ -24,7 +23,7 @@ def anomaly_fit(training: DataFrame, k: int = 4, seed: int = 42) -> PipelineMode
         StringIndexer(inputCol="symbol", outputCol="_index", handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCol="_index", outputCol="_symbol", dropLast=False),
         VectorAssembler(inputCols=["price", "volume", "_symbol"], outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
+        StandardScaler(inputCol="_raw", outputCol="_features", withMean=False, withStd=True),
         KMeans(featuresCol="_features", predictionCol="centroid_id", k=k, seed=seed),
     ]
     return Pipeline(stages=stages).fit(training.select("symbol", "price", "volume"))
@@ -66,7 +65,7 @@ def anomalies(model: PipelineModel, trades: DataFrame, threshold: float) -> Data
 def anomaly_zscore(training: DataFrame, trades: DataFrame, limit: float = 3.0) -> DataFrame:
     """Trades whose price or volume is more than ``limit`` deviations off the symbol's mean.
 
-    The statistics, one row per symbol, are computed once and broadcast if they are few.
+    The statistics are one row per symbol; how they are joined is left to Spark, which knows their size at run time.
     """
     stats = training.groupBy("symbol").agg(
         F.avg("price").alias("_mp"),
@@ -74,7 +73,6 @@ def anomaly_zscore(training: DataFrame, trades: DataFrame, limit: float = 3.0) -
         F.avg("volume").alias("_mv"),
         F.stddev_samp("volume").alias("_sv"),
     )
-    stats = materialise(stats)
     z_price = F.abs(F.try_divide(F.col("price") - F.col("_mp"), F.col("_sp")))
     z_volume = F.abs(F.try_divide(F.col("volume") - F.col("_mv"), F.col("_sv")))
     scored = trades.join(stats, "symbol").withColumn(

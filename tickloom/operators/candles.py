@@ -17,7 +17,7 @@ def candles(trades: DataFrame, seconds: int = 300, ident: str | Sequence[str] =
     Combined per task before the shuffle, so a hot symbol costs one row per task and bucket. The
     bucket comes first in the key because it sorts by its number, the symbols share a prefix.
     """
-    order = F.struct("event_time", *([ident] if isinstance(ident, str) else ident))
+    order = clock.moment_key(trades, "event_time", ident)
     price = F.col("price")
     return (
         trades.groupBy(clock.bucket(F.col("event_time"), seconds).alias("bucket_start"), "symbol")

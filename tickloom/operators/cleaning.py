@@ -101,11 +101,11 @@ def classify(
     """
     rows = _normalised(trades)
     if isinstance(allowed, DataFrame):
-        known = allowed.select(F.col("symbol").alias("_known")).distinct()
+        known = allowed.select(symbols.normalise(F.col("symbol")).alias("_known")).distinct()
         rows = rows.join(known, rows["symbol"] == known["_known"], "left")
         listed = F.col("_known").isNotNull()
     else:
-        listed = F.col("symbol").isin([s.upper() for s in allowed])
+        listed = F.col("symbol").isin([s.strip(" \t\r\n\f\x0b").upper() for s in allowed])
     reason = F.coalesce(
         *[F.when(~ok, name) for name, ok in _checks(listed, as_of, max_future, max_past)]
     )
@@ -137,10 +137,10 @@ def clean_trades(
         return accepted(classify(trades, allowed, as_of, max_future, max_past))
     rows = _normalised(trades)
     if isinstance(allowed, DataFrame):
-        rows = rows.join(allowed.select("symbol").distinct(), "symbol", "left_semi")
+        rows = rows.join(allowed.select(symbols.normalise(F.col("symbol")).alias("symbol")).distinct(), "symbol", "left_semi")
         listed = F.lit(True)
     else:
-        listed = F.col("symbol").isin([s.upper() for s in allowed])
+        listed = F.col("symbol").isin([s.strip(" \t\r\n\f\x0b").upper() for s in allowed])
     for reason, ok in _checks(listed, as_of, max_future, max_past):
         # A NULL fails every other comparison anyway.
         if reason != "missing_fields":

@@ -12,14 +12,9 @@ from tickloom import schema
 
 MARKER_DDL = "model string, row_count bigint, trained_at timestamp"
 
-# Fixed value: the request put before the market data.
 DEFAULT_PROMPT = (
-    "You are a senior quantitative analyst. The latest ticks and anomaly flags of the crypto "
-    "market follow as JSON:\n%s\n"
-    "1. Read how price and volume move over time.\n"
-    "2. Say at once whether this is accumulation or a pump and dump.\n"
-    "3. Give a risk warning and a buy, sell or hold view.\n"
-    "Answer in two short lines without a greeting."
+    "Recent trades, newest first, one JSON record each:\n%s\n"
+    "Describe in at most three sentences what stands out in them, and how sure you are."
 )
 
 
@@ -63,13 +58,16 @@ def retrain_gate(trades: DataFrame, markers: DataFrame, model: str, threshold: i
 
 
 def gate(current: DataFrame, markers: DataFrame, model: str, threshold: int) -> DataFrame:
-    last = markers.where(F.col("model") == model).agg(
-        F.coalesce(F.max("row_count"), F.lit(0)).alias("rows")
-    )
+    """The newest marker counts. A table with fewer rows than it was reset, so all its rows are new."""
+    trained = F.unix_micros("trained_at") if "trained_at" in markers.columns else F.lit(None).cast("bigint")
+    newest = F.max_by("row_count", F.coalesce(trained, F.lit(-(2**62))))
+    last = markers.where(F.col("model") == model).agg(F.coalesce(newest, F.lit(0)).alias("rows"))
     now = current.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"))
     sides = now.withColumn("side", F.lit("now")).unionByName(last.withColumn("side", F.lit("last")))
     pick = {s: F.max(F.when(F.col("side") == s, F.col("rows"))) for s in ("now", "last")}
-    return sides.agg(pick["now"].alias("rows_now"), pick["last"].alias("rows_at_training")).select(
+    both = sides.agg(pick["now"].alias("rows_now"), pick["last"].alias("marked")).withColumn(
+        "rows_at_training", F.when(F.col("rows_now") < F.col("marked"), 0).otherwise(F.col("marked")))
+    return both.select(
         F.lit(model).alias("model"),
         "rows_now",
         "rows_at_training",

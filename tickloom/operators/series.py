@@ -32,7 +32,7 @@ def minute_prices(trades: DataFrame, ident: str = "id") -> DataFrame:
     minute = clock.bucket(F.col("event_time"), 60).alias("minute")
     return (
         trades.groupBy(minute, "symbol")
-        .agg(F.max_by("price", F.struct("event_time", ident)).alias("price"))
+        .agg(F.max_by("price", clock.moment_key(trades, "event_time", ident)).alias("price"))
         .select("symbol", "minute", "price")
     )
 

@@ -8,13 +8,12 @@ the skew. The cube can come straight from trades or from the table that the stre
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import clock
 from tickloom.functions.numeric import percent_spread, round_half_up
 from tickloom.plans import star
-from tickloom.sources.tables import small
 
 
 def hour_cube(trades: DataFrame) -> DataFrame:
@@ -178,15 +177,11 @@ def latest_price(trades: DataFrame, dim_symbol: DataFrame) -> DataFrame:
     """The newest trades of every symbol; trades that share the newest time are all kept.
 
     A ranking window would sort all rows of a hot symbol in one task. Instead the newest time per
-    symbol is combined per task and joined back; it has no more rows than the dimension, whose
-    size decides whether it is broadcast.
+    symbol is combined per task and joined back; it has no more rows than the dimension.
     """
     names = dim_symbol.select("symbol", "asset_name", "base_currency")
     newest = trades.groupBy("symbol").agg(F.max("event_time").alias("event_time"))
-    probe = small(names)
-    lookup = newest.join(probe, "symbol")
-    if probe is not names:
-        lookup = F.broadcast(lookup)
+    lookup = newest.join(names, "symbol")
     return trades.join(lookup, ["symbol", "event_time"]).select(
         "asset_name",
         "base_currency",
@@ -231,12 +226,12 @@ def star_sample(trades: DataFrame, dim_symbol: DataFrame, dim_exchange: DataFram
     """The latest ``k`` trades with the attributes of all four dimensions.
 
     Date and time attributes are functions of the trade time, so the two derived dimensions are
-    not joined. ``trade_id`` is the row number in (time, id) order: the newest row has the number of
-    all fact rows, the next one less, and so on; only a count is needed, not a global sort.
+    not joined. ``trade_id`` is the row number among all fact rows, also those without an exchange, in
+    (time, id) order: the number of fact rows that are not newer. All are counted in one pass by how
+    many of the ``k`` rows they are not newer than.
     """
     look = star.instruments(dim_symbol, dim_exchange)
     known = trades.join(look.select("symbol"), "symbol", "left_semi")
-    total = known.count()
     joined = trades.join(
         look.where(F.col("exchange_key").isNotNull()).select(
             "symbol", "asset_name", "base_currency", "market_cap_tier", "exchange_name"
@@ -244,14 +239,22 @@ def star_sample(trades: DataFrame, dim_symbol: DataFrame, dim_exchange: DataFram
         "symbol",
     )
     top = joined.orderBy(F.desc("event_time"), F.desc(ident)).limit(k)
-    # k rows: the place among them is an array position, not a window over the trades.
-    listed = top.agg(
-        F.sort_array(F.collect_list(F.struct("event_time", ident, "symbol", "price", "volume", "asset_name",
-                                             "base_currency", "market_cap_tier", "exchange_name")), asc=False).alias("r")
-    ).select(F.posexplode("r").alias("place", "r")).select("place", "r.*")
+    own = F.struct("event_time", ident)
+    edges = top.agg(F.collect_list(own)).scalar()  # k values
+
+
+    def reached(rows: DataFrame) -> DataFrame:
+        # A subquery cannot stand inside a function of array elements, so it is made a column first.
+        listed = rows.withColumn("edges", F.explode(F.array(edges)))
+        return listed.withColumn("reach", F.size(F.filter("edges", lambda e: e >= own))).drop("edges")
+
+    counts = reached(known).groupBy("reach").agg(F.count("*").alias("n")).where("reach > 0")
+    # At most k rows from here on.
+    behind = counts.select("reach", F.sum("n").over(Window.orderBy(F.desc("reach"))).alias("trade_id"))
+    listed = reached(top).join(behind, "reach")
     t = F.col("event_time")
     return listed.select(
-        (F.lit(total) - F.col("place")).alias("trade_id"),
+        "trade_id",
         t.alias("trade_time"),
         F.to_date(t).alias("full_date"),
         clock.day_name(F.dayofweek(t)).alias("day_name"),

@@ -1,8 +1,8 @@
 """Views over the last hour, or the current day, of the cleaned table.
 
 ``as_of`` is the moment of reading (None = now); ``names`` maps a symbol to its asset name. The time
-looked at is the processing time. A partitioned table is cut to the days that can hold such rows:
-cleaning admits trades from at most 30 days before to 1 day after their processing.
+looked at is the processing time. It says nothing about the event days that a table is partitioned by, so
+all of them are read, unless ``max_past`` says how many seconds a trade can be older than its processing.
 """
 
 from __future__ import annotations
@@ -20,20 +20,23 @@ from tickloom.sources.tables import prune_days
 HOUR = 3600
 
 
-def _recent(trades: DataFrame, as_of, seconds: int, when: str, max_past: int) -> DataFrame:
+def _recent(trades: DataFrame, as_of, seconds: int, when: str, max_past: int | None) -> DataFrame:
+    rows = trades.where(clock.within(F.col(when), as_of, seconds))
+    if max_past is None:
+        return rows
     # Expressions of the moment of reading, so that a registered view moves on with the clock. A
     # day of slack on either side covers the zone of the partition columns.
     now = clock.as_instant(as_of)
     first = now - F.expr(f"INTERVAL {seconds + max_past + 86400} SECONDS")
     last = now + F.expr(f"INTERVAL {schema.MAX_FUTURE_SECONDS + 86400} SECONDS")
-    return prune_days(trades, first, last).where(clock.within(F.col(when), as_of, seconds))
+    return prune_days(rows, first, last)
 
 
-def last_hour(trades: DataFrame, as_of=None, when: str = "processed_at", max_past: int = schema.MAX_PAST_SECONDS) -> DataFrame:
+def last_hour(trades: DataFrame, as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
     return _recent(trades, as_of, HOUR, when, max_past)
 
 
-def same_day(trades: DataFrame, as_of=None, when: str = "processed_at", max_past: int = schema.MAX_PAST_SECONDS) -> DataFrame:
+def same_day(trades: DataFrame, as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
     """Rows of the UTC day of ``as_of``, up to it."""
     now = clock.as_instant(as_of)
     recent = _recent(trades, as_of, 86400, when, max_past)
@@ -49,45 +52,45 @@ def _value():
     return F.col("price") * F.col("volume")
 
 
-def money_flow(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at") -> DataFrame:
-    return last_hour(trades, as_of, when).groupBy(_asset(names)).agg(
+def money_flow(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    return last_hour(trades, as_of, when, max_past).groupBy(_asset(names)).agg(
         round_half_up(F.sum(_value()), 2).alias("total_usd")
     )
 
 
-def price_range(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at") -> DataFrame:
-    return last_hour(trades, as_of, when).groupBy(_asset(names)).agg(
+def price_range(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    return last_hour(trades, as_of, when, max_past).groupBy(_asset(names)).agg(
         round_half_up(F.min("price"), 4).alias("lowest_price"),
         round_half_up(F.max("price"), 4).alias("highest_price"),
     )
 
 
-def trade_count(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at") -> DataFrame:
-    return last_hour(trades, as_of, when).groupBy(_asset(names)).agg(F.count("*").alias("trade_count"))
+def trade_count(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    return last_hour(trades, as_of, when, max_past).groupBy(_asset(names)).agg(F.count("*").alias("trade_count"))
 
 
-def minute_flow(trades: DataFrame, as_of=None, when: str = "processed_at") -> DataFrame:
-    return last_hour(trades, as_of, when).groupBy(clock.bucket(F.col(when), 60).alias("minute")).agg(
+def minute_flow(trades: DataFrame, as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    return last_hour(trades, as_of, when, max_past).groupBy(clock.bucket(F.col(when), 60).alias("minute")).agg(
         F.count("*").alias("trade_count"), round_half_up(F.sum(_value()), 2).alias("total_usd")
     ).orderBy("minute")
 
 
-def vwap_5m(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at") -> DataFrame:
-    rows = last_hour(trades, as_of, when)
+def vwap_5m(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    rows = last_hour(trades, as_of, when, max_past)
     return rows.groupBy(clock.bucket(F.col(when), 300).alias("bucket_start"), _asset(names)).agg(
         round_half_up(F.try_divide(F.sum(_value()), F.sum("volume")), 4).alias("vwap")
     ).orderBy("bucket_start", "asset_name")
 
 
-def density_5m(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at") -> DataFrame:
-    rows = last_hour(trades, as_of, when)
+def density_5m(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    rows = last_hour(trades, as_of, when, max_past)
     return rows.groupBy(clock.bucket(F.col(when), 300).alias("bucket_start"), _asset(names)).agg(
         F.count("*").alias("trade_count")
     ).orderBy("bucket_start", "asset_name")
 
 
-def whale_today(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at") -> DataFrame:
-    return same_day(trades, as_of, when).groupBy(_asset(names)).agg(
+def whale_today(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
+    return same_day(trades, as_of, when, max_past).groupBy(_asset(names)).agg(
         round_half_up(F.max(_value()), 2).alias("largest_order_usd")
     )
 

@@ -16,12 +16,15 @@ from tickloom.functions import clock
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 
-    Only where that is unset, as in tests, a temporary folder is made and set.
+    Only where that is unset and Spark runs in one process, as in tests, a temporary folder is made and
+    set. Executors on other machines would not see it, so on a cluster the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tickloom-")
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
@@ -36,18 +39,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, else leave the join to Spark."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def materialise(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Compute a small table once, and mark it for broadcast if it proves to be small."""
-    return small(cut_lineage(df), max_rows)
-
-
 def prune_days(trades: DataFrame, start, end) -> DataFrame:
     """Keep whole days from ``start`` to ``end`` by the partition columns alone.
 
@@ -121,10 +112,10 @@ def reset_table(spark: SparkSession, name: str, data_path: str | None = None, ch
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     for path in (data_path, checkpoint):
         if path:
-            _delete(spark, path)
+            delete_folder(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is on; refuses a file system's root."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -133,16 +124,14 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def compact(spark: SparkSession, source: str, target: str, start=None, end=None) -> DataFrame:
-    """Rewrite a lake folder of many small files as few files per day; the source is left alone.
+def compact(rows: DataFrame, target: str, start=None, end=None) -> None:
+    """Write a folder of many small files anew as few files per day; the source is left alone.
 
     With ``start`` and ``end`` only those days are read and written.
     """
     days = ["year", "month", "day"]
-    rows = spark.read.parquet(source)
     if start and end:
         rows = prune_days(rows, start, end)
     keep = [c for c in rows.columns if c not in (*days, "batch_id")]
     out = by_day(rows.select(*keep, *days))
-    out.sortWithinPartitions(*days, "event_time").write.partitionBy(*days).parquet(target)
-    return spark.read.parquet(target)
+    out.sortWithinPartitions(*days, "event_time").write.mode("overwrite").partitionBy(*days).parquet(target)

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import cleaning
 from tickloom.schema import local_table
 from tickloom.sources import messages as shapes
-from tickloom.sources.tables import by_day
-from tickloom.streaming.slices import write_slice
+from tickloom.sources.tables import by_day, compact
+from tickloom.streaming.slices import committed, folded, newest_fold, read_slices, write_slice
 
 DAYS = ("year", "month", "day")
+SILVER_DDL = ("event_time timestamp, symbol string, asset_name string, price double, volume double, "
+              "processed_at timestamp, year int, month int, day int")
 LEDGER_DDL = "sink string, status string, rows bigint, error string"
 
 
@@ -96,7 +98,7 @@ def fan_out(
                 write_slice(stored, lake, batch_id, fmt="json", partition_by=DAYS)
                 entries.append(("lake", "ok", accepted, ""))
             except Exception as failure:
-                entries.append(("lake", "failed", 0, str(failure)[:2000]))
+                entries.append(("lake", "failed", 0, str(failure)))
             ledger = local_table(batch.sparkSession, entries, LEDGER_DDL)
             write_slice(ledger.coalesce(1), f"{root}/ledger", batch_id)
         finally:
@@ -104,3 +106,50 @@ def fan_out(
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    return read_slices(spark, f"{root}/ledger", LEDGER_DDL)
+
+
+def read_silver(spark: SparkSession, root: str, keep: str = "", columns: str = SILVER_DDL) -> DataFrame:
+    """Trades of all finished batches: the newest compacted table and the slices after it.
+
+    ``keep`` is the schema text of further columns that ``fan_out`` was told to keep.
+    """
+    rows = read_slices(spark, f"{root}/silver", ", ".join(x for x in (keep, columns) if x))
+    return folded(spark, committed(rows, read_ledger(spark, root)), f"{root}/compacted")
+
+
+def compact_silver(spark: SparkSession, root: str, keep: str = "") -> int | None:
+    """Compact all finished batches but the newest; returns the last one covered.
+
+    The table is named by that batch, so ``read_silver`` counts no row twice, and a batch still
+    being written, or replayed later, is not in it.
+    """
+    ledger = read_ledger(spark, root)
+    newest = ledger.where("sink = 'silver' AND status = 'ok'").agg(F.max("batch_id")).first()[0]
+    before = newest_fold(spark, f"{root}/compacted")
+    if newest is None or newest - 1 <= (-1 if before is None else before):
+        return before
+    rows = read_silver(spark, root, keep).where(F.col("batch_id") < newest)
+    compact(rows, f"{root}/compacted/upto={newest - 1}")
+    return newest - 1
+
+
+def repair_lake(spark: SparkSession, root: str, lake_path: str | None = None, keep: str = "") -> list[int]:
+    """Write the lake slices that have failed anew from ``silver``; returns their batch ids.
+
+    A batch's ledger is rewritten only after its slice is whole.
+    """
+    ledger = read_ledger(spark, root)
+    failed = [r[0] for r in ledger.where("sink = 'lake' AND status <> 'ok'").select("batch_id").distinct().collect()]
+    columns = ", ".join(x for x in (keep, SILVER_DDL) if x)
+    for batch_id in failed:
+        stored = spark.read.schema(columns).parquet(f"{root}/silver/batch_id={batch_id}")
+        write_slice(stored, lake_path or f"{root}/lake", batch_id, fmt="json", partition_by=DAYS)
+        rows = [(r["sink"], r["status"], r["rows"], r["error"]) for r in ledger.where(F.col("batch_id") == batch_id).collect()]
+        accepted = next(n for sink, _, n, _ in rows if sink == "silver")
+        rows = [("lake", "ok", accepted, "") if r[0] == "lake" else r for r in rows]
+        write_slice(local_table(spark, rows, LEDGER_DDL).coalesce(1), f"{root}/ledger", batch_id)
+    return failed

@@ -1,8 +1,8 @@
-"""Summaries kept up to date by a stream.
+"""Summaries kept up to date by a stream, complete at any lateness.
 
-Update-mode aggregation sends each changed group; a batch stores its changes as one slice and
-readers take the newest version of every group. The state holds the groups that the watermark has
-not passed, one row per symbol and bucket.
+The measures are additive, so a micro-batch is summed up by itself and stored as one slice; readers add
+the slices up. There is no state and no watermark: a row counts whenever it comes. Slices that no replay
+can change any more are folded into one while the stream runs, which keeps their number small.
 """
 
 from __future__ import annotations
@@ -15,7 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.numeric import round_half_up
 from tickloom.plans.marts import cube_measures
-from tickloom.streaming.slices import newest_version, read_slices, write_slice
+from tickloom.sources.tables import delete_folder
+from tickloom.streaming.slices import folded, newest_fold, read_slices, write_slice
+
+KEYS = ("bucket_start", "symbol")
+FLOW_DDL = "symbol string, n bigint, sum_value double, sum_volume double, bucket_start timestamp"
+CUBE_DDL = ("symbol string, n bigint, sum_volume double, sum_value double, sum_price double, max_price double, "
+            "min_price double, bucket_start timestamp")
 
 
 def flow_measures() -> list[Column]:
@@ -26,49 +32,66 @@ def flow_measures() -> list[Column]:
     ]
 
 
-def bucketed(trades: DataFrame, width: str, measures: Sequence[Column], delay: str = "1 hour") -> DataFrame:
-    """Tumbling windows over event time; the same on a stream and on a batch."""
-    windowed = trades.withWatermark("event_time", delay).groupBy(
-        F.window("event_time", width).alias("_w"), "symbol"
-    )
+def bucketed(trades: DataFrame, width: str, measures: Sequence[Column]) -> DataFrame:
+    """Tumbling windows over event time of a table or of one micro-batch."""
+    windowed = trades.groupBy(F.window("event_time", width).alias("_w"), "symbol")
     return windowed.agg(*measures).withColumn("bucket_start", F.col("_w.start")).drop("_w")
 
 
-def rollup_stream(trades: DataFrame, path: str, checkpoint: str, width: str, measures: Sequence[Column], delay: str = "1 hour", **trigger) -> StreamingQuery:
-    out = bucketed(trades, width, measures, delay)
-    writer = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(lambda batch, batch_id: write_slice(batch, path, batch_id))
+def added_up(slices: DataFrame) -> DataFrame:
+    """One row per bucket and symbol: ``min_`` and ``max_`` measures by extreme, all others by sum."""
+    names = [c for c in slices.columns if c not in (*KEYS, "batch_id")]
+    how = {"min": F.min, "max": F.max}
+    return slices.groupBy(*KEYS).agg(*[how.get(c[:3], F.sum)(c).alias(c) for c in names])
+
+
+def rollup_stream(trades: DataFrame, path: str, checkpoint: str, width: str, measures: Sequence[Column], **trigger) -> StreamingQuery:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_slice(bucketed(batch, width, measures), f"{path}/slices", batch_id)
+
+    writer = trades.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def hourly_stream(trades: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", **trigger) -> StreamingQuery:
+def hourly_stream(trades: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """The hour cube as a live table."""
-    return rollup_stream(trades, path, checkpoint, "1 hour", cube_measures(), delay, **trigger)
+    return rollup_stream(trades, path, checkpoint, "1 hour", cube_measures(), **trigger)
 
 
-def five_minute_stream(trades: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", **trigger) -> StreamingQuery:
+def five_minute_stream(trades: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Five-minute flow as a live table: behind VWAP, density and the sliding view."""
-    return rollup_stream(trades, path, checkpoint, "5 minutes", flow_measures(), delay, **trigger)
+    return rollup_stream(trades, path, checkpoint, "5 minutes", flow_measures(), **trigger)
+
+
+def _slices(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return folded(spark, read_slices(spark, f"{path}/slices", schema), f"{path}/folds")
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return newest_version(read_slices(spark, path), ["bucket_start", "symbol"])
+def read_rollup(spark: SparkSession, path: str, schema: str = FLOW_DDL) -> DataFrame:
+    return added_up(_slices(spark, path, schema))
 
 
-def fold_rollup(spark: SparkSession, path: str, target: str) -> None:
-    """Write only the newest version of every group, as one slice, to a new folder.
+def fold_rollup(spark: SparkSession, path: str, schema: str = FLOW_DDL) -> int | None:
+    """Add up all slices but the newest, which may be replayed, into one; the stream may run meanwhile.
 
-    The stream, stopped meanwhile, goes on with ``target`` and its old checkpoint: the slice has
-    the number of the last batch, and later batches have higher ones.
+    Slices that the fold before this one covers are deleted, so a reader that began with that one still
+    finds what it needs. Returns the number of the last slice folded.
     """
-    last = read_slices(spark, path).agg(F.max("batch_id")).first()[0]
-    write_slice(read_rollup(spark, path), target, last)
+    rows, before = _slices(spark, path, schema), newest_fold(spark, f"{path}/folds")
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    if newest is None or newest - 1 <= (-1 if before is None else before):
+        return before
+    added_up(rows.where(F.col("batch_id") < newest)).write.mode("overwrite").parquet(f"{path}/folds/upto={newest - 1}")
+    if before is not None:
+        for row in read_slices(spark, f"{path}/slices", schema).where(F.col("batch_id") <= before).select("batch_id").distinct().collect():
+            delete_folder(spark, f"{path}/slices/batch_id={row[0]}")
+    return newest - 1
 
 
 def read_hour_cube(spark: SparkSession, path: str) -> DataFrame:
     """The live table in the shape of ``plans.marts.hour_cube``; every report runs on it."""
     at = F.col("bucket_start")
-    rows = read_rollup(spark, path)
+    rows = read_rollup(spark, path, CUBE_DDL)
     return rows.withColumns({"full_date": F.to_date(at), "hour": F.hour(at)}).drop("bucket_start")
 
 

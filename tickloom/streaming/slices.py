@@ -10,27 +10,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def write_slice(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     rows.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}/batch_id={batch_id}")
 
 
-def read_slices(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
-    reader = spark.read.format(fmt)
-    if schema:
-        reader = reader.schema(schema)
-    return reader.load(path)
+def read_slices(spark: SparkSession, path: str, schema: str | StructType, fmt: str = "parquet") -> DataFrame:
+    """All slices below ``path`` with their ``batch_id``; an empty sink gives no rows."""
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if "batch_id" not in fields.names:
+        fields = StructType([*fields.fields, StructField("batch_id", IntegerType())])
+    return spark.read.format(fmt).schema(fields).load(path)
+
+
+def newest_fold(spark: SparkSession, path: str) -> int | None:
+    """The largest N for which a finished folder ``upto=N`` is below ``path``."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/upto=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return max((int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found or []), default=None)
+
+
+def folded(spark: SparkSession, slices: DataFrame, path: str) -> DataFrame:
+    """``slices`` with those that the newest fold covers replaced by it; the fold has its number as ``batch_id``."""
+    last = newest_fold(spark, path)
+    if last is None:
+        return slices
+    names = [c for c in slices.columns if c != "batch_id"]
+    fields = StructType([f for f in slices.schema.fields if f.name != "batch_id"])
+    base = spark.read.schema(fields).parquet(f"{path}/upto={last}")
+    later = slices.where(F.col("batch_id") > last)
+    return base.select(*names, F.lit(last).cast("int").alias("batch_id")).unionByName(later.select(*names, "batch_id"))
 
 
 def committed(rows: DataFrame, ledger: DataFrame, sink: str = "silver") -> DataFrame:
     """Only rows of batches the ledger calls done, so a batch in the middle of its write is not seen."""
     done = ledger.where((F.col("sink") == sink) & (F.col("status") == "ok")).select("batch_id").distinct()
     return rows.join(done, "batch_id", "left_semi")
-
-
-def newest_version(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The row of the latest batch for every key."""
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return newest.select(*keys, "_v.*")

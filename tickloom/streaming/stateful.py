@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -11,22 +12,61 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tickloom.operators.throttle import passed, throttle
-from tickloom.sources.tables import small
-from tickloom.streaming.slices import read_slices, write_slice
+from tickloom.streaming.slices import write_slice
 
 FULL_KEY = ("event_time", "symbol", "price", "volume")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """State on local disk with changelog checkpoints instead of the heap; needed by ``throttle_stream``."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State of queries started inside is on local disk with changelog checkpoints, not on the heap.
 
+    Needed by ``throttle_stream``. The session's settings are put back at the end.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def dedup_batches(trades: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = FULL_KEY, **trigger) -> StreamingQuery:
+    """One row per key at any lateness, written to ``path`` by event day and batch.
+
+    A batch drops its own copies and then those whose key is stored already; only the days that occur
+    in the batch are read. An original that comes late is kept. A replayed batch looks at earlier
+    batches only and replaces its own files.
+    """
+    keys = list(keys)
+    day = F.to_date("event_time")
 
-def dedup_stream(trades: DataFrame, keys: Sequence[str] = FULL_KEY, delay: str = "1 hour") -> DataFrame:
-    """One row per key; a key is forgotten when the watermark passes it, so the state stays bounded."""
-    return trades.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.dropDuplicates(keys).withColumns({"day": day, "batch_id": F.lit(batch_id)})
+        if batch_id:
+            days = [r[0] for r in batch.select(day).distinct().collect()]  # as many as the calendar has
+            stored = spark.read.schema(rows.schema).parquet(path)
+            stored = stored.where((F.col("batch_id") < batch_id) & F.col("day").isin(days))
+            same = [rows[k].eqNullSafe(stored[k]) for k in keys]
+            rows = rows.join(stored.select("day", *keys), [rows["day"] == stored["day"], *same], "left_anti")
+        out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy("day", "batch_id").parquet(path)
+
+    writer = trades.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def read_deduplicated(spark: SparkSession, path: str, trades: DataFrame) -> DataFrame:
+    """What ``dedup_batches`` has kept, in the columns of ``trades``."""
+    return spark.read.schema(trades.schema).parquet(path).select(*trades.columns)
 
 
 class _Throttle(StatefulProcessor):
@@ -72,18 +112,33 @@ def throttle_batches(trades: DataFrame, path: str, checkpoint: str, seconds: flo
     gone, the first tick left passes, so the batch operator finishes the work in even pieces.
     Slices of passed rows and of the carried times are written per batch id: a replayed batch
     starts from the times of the batch before it and overwrites its own.
+
+    A tick older than the last one passed comes too late to be judged; it is kept under ``late``.
+    ``account`` has the counts of every batch: rows = passed + waiting + late.
     """
     wait = F.expr(f"INTERVAL {int(round(seconds * 1_000_000)) / 1_000_000:.6f} SECONDS")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows, carried = batch, None
+        rows, carried, late = batch, None, batch.limit(0)
         if batch_id:
             carried = spark.read.schema(_CARRIED).parquet(f"{path}/carried/batch_id={batch_id - 1}")
-            rows = batch.join(small(carried), "symbol", "left")
-            rows = rows.where(F.col("last").isNull() | (F.col("event_time") >= F.col("last") + wait)).drop("last")
+            held = batch.join(carried, "symbol", "left")
+            late = held.where(F.col("event_time") < F.col("last")).select(*batch.columns)
+            rows = held.where(F.col("last").isNull() | (F.col("event_time") >= F.col("last") + wait)).drop("last")
+        write_slice(late, f"{path}/late", batch_id)
         write_slice(throttle(rows.select(*batch.columns), seconds, ident=ident), f"{path}/passed", batch_id)
         stored = spark.read.schema(batch.schema).parquet(f"{path}/passed/batch_id={batch_id}")
+        counted = [
+            side.agg(F.count("*").alias("n")).withColumn("what", F.lit(what))
+            for what, side in (("rows", batch), ("passed", stored),
+                               ("late", spark.read.schema(batch.schema).parquet(f"{path}/late/batch_id={batch_id}")))
+        ]
+        sides = counted[0].unionByName(counted[1]).unionByName(counted[2])
+        n = {w: F.sum(F.when(F.col("what") == w, F.col("n"))) for w in ("rows", "passed", "late")}
+        account = sides.agg(n["rows"].alias("rows"), n["passed"].alias("passed"), n["late"].alias("late"))
+        account = account.withColumn("waiting", F.col("rows") - F.col("passed") - F.col("late"))
+        write_slice(account.coalesce(1), f"{path}/account", batch_id)
         last = stored.select("symbol", F.col("event_time").alias("last"))
         last = last if carried is None else last.unionByName(carried)
         write_slice(last.groupBy("symbol").agg(F.max("last").alias("last")), f"{path}/carried", batch_id)
@@ -93,25 +148,26 @@ def throttle_batches(trades: DataFrame, path: str, checkpoint: str, seconds: flo
 
 
 _CARRIED = "symbol string, last timestamp"
+ACCOUNT_DDL = "rows bigint, passed bigint, late bigint, waiting bigint"
 
 
-LATENESS_DDL = "rows bigint, late_rows bigint, newest timestamp, watermark timestamp"
+LATENESS_DDL = "rows bigint, late_rows bigint, newest timestamp, watermark timestamp, high timestamp"
 
 
 def lateness_stream(trades: DataFrame, path: str, checkpoint: str, delay_seconds: int = 3600, **trigger) -> StreamingQuery:
     """Per batch: rows, rows behind the watermark, newest time and the watermark they were held against.
 
     The engine's own counter counts partly aggregated rows; this counts raw ones. The watermark
-    of a batch is the newest time of all earlier batches minus the delay, read from the ledger, so
-    a replayed batch gets the same answer.
+    of a batch is the newest time of all earlier batches minus the delay. That time is carried from
+    batch to batch as ``high``, so only the slice before is read, and a replay gets the same answer.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         newest = None
         if batch_id:
-            seen = read_slices(spark, path, LATENESS_DDL + ", batch_id int").where(F.col("batch_id") < batch_id)
-            newest = seen.agg(F.max(F.unix_micros("newest"))).first()[0]
+            before = spark.read.schema(LATENESS_DDL).parquet(f"{path}/batch_id={batch_id - 1}")
+            newest = before.agg(F.max(F.unix_micros("high"))).first()[0]
         mark = F.timestamp_micros(F.lit(None if newest is None else newest - delay_seconds * 1_000_000).cast("bigint"))
         t = F.col("event_time")
         out = batch.agg(
@@ -119,6 +175,8 @@ def lateness_stream(trades: DataFrame, path: str, checkpoint: str, delay_seconds
             F.count_if(t < mark).alias("late_rows"),
             F.max(t).alias("newest"),
         ).withColumn("watermark", mark)
+        known = F.timestamp_micros(F.lit(newest).cast("bigint"))
+        out = out.withColumn("high", F.greatest("newest", known))
         write_slice(out, path, batch_id)
 
     writer = trades.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -161,9 +161,10 @@ def _star() -> dict[str, str]:
         "whales": with_(FACT, f"""SELECT trade_id AS id, trade_time, asset_name, exchange_name, price, volume, trade_value AS value_usd
             FROM ({named}) ORDER BY trade_value DESC, trade_id LIMIT 50"""),
         "trade_listing": with_(FACT, f"SELECT trade_id, trade_time, asset_name, exchange_name, price, volume, trade_value FROM ({named})"),
-        "star_sample": with_(FACT, f"""SELECT ROW_NUMBER() OVER (ORDER BY trade_time, trade_id) AS trade_id, trade_time, full_date, day_name, hour,
+        "star_sample": with_(FACT, f"""SELECT place AS trade_id, trade_time, full_date, day_name, hour,
             CAST(minute(trade_time) AS INTEGER) AS minute, asset_name, base_currency, market_cap_tier, exchange_name, price, volume, trade_value
-            FROM ({named}) n ORDER BY n.trade_time DESC, n.trade_id DESC LIMIT 20"""),
+            FROM ({named}) n JOIN (SELECT trade_id AS own, ROW_NUMBER() OVER (ORDER BY trade_time, trade_id) AS place FROM fact) p
+            ON p.own = n.trade_id ORDER BY n.trade_time DESC, n.trade_id DESC LIMIT 20"""),
         "object_counts": with_(FACT, f"""SELECT 'dim_exchange' AS object_name, COUNT(*) AS rows FROM dim_exchange
             UNION ALL SELECT 'dim_symbol', COUNT(*) FROM dim_symbol UNION ALL SELECT 'dim_date', COUNT(*) FROM ({date_dim})
             UNION ALL SELECT 'dim_time', COUNT(*) FROM ({time_dim}) UNION ALL SELECT 'fact_trades', COUNT(*) FROM fact
@@ -189,6 +190,10 @@ def _realtime() -> dict[str, str]:
         "rt_density_5m": with_(SILVER, f"SELECT {five}, {name}, COUNT(*) AS trade_count {hour} GROUP BY 1, 2"),
         "rt_whale_today": with_(SILVER, f"""SELECT {name}, {rnd('MAX(price * volume)', 2)} AS largest_order_usd FROM silver
             WHERE event_time >= TIMESTAMP '2024-01-15' AND event_time <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1"""),
+        "rt_backfilled": with_(SILVER, f"SELECT {name}, {rnd('SUM(price * volume)', 2)} AS total_usd {hour} GROUP BY 1"),
+        "vwap_late": with_(SILVER, f"SELECT {five}, symbol, {vwap} AS vwap FROM silver GROUP BY 1, 2"),
+        "density_late": with_(SILVER, f"SELECT {five}, symbol, COUNT(*) AS trade_count FROM silver GROUP BY 1, 2"),
+        "flow_sliding_late": with_(SILVER, SLIDING.replace("VWAP", vwap).replace("USD", rnd("SUM(price * volume)", 2))),
         "vwap_stream": with_(SILVER, f"SELECT {five}, symbol, {vwap} AS vwap FROM silver GROUP BY 1, 2"),
         "density_stream": with_(SILVER, f"SELECT {five}, symbol, COUNT(*) AS trade_count FROM silver GROUP BY 1, 2"),
         "flow_sliding": with_(SILVER, SLIDING.replace("VWAP", vwap).replace("USD", rnd("SUM(price * volume)", 2))),
@@ -205,6 +210,11 @@ THROTTLE = f"""{TRADES}, picked AS (
   SELECT p.symbol, (SELECT MIN(n.event_time) FROM t n WHERE n.symbol = p.symbol AND n.event_time >= p.event_time + INTERVAL 30 MINUTES) AS event_time
   FROM picked p WHERE p.event_time IS NOT NULL)"""
 
+# The first ten days come after the ten that follow them, when every symbol has passed a later tick.
+ACCOUNT = THROTTLE.replace("t AS (", "all_rows AS (").replace("FROM events), picked", """FROM events), t AS (
+  SELECT *, CASE WHEN day(event_time) BETWEEN 11 AND 20 THEN 0 WHEN day(event_time) <= 10 THEN 1 ELSE 2 END AS batch_id FROM all_rows), picked""")
+ACCOUNT = ACCOUNT.replace("FROM t GROUP BY", "FROM t WHERE batch_id <> 1 GROUP BY").replace("FROM t n WHERE", "FROM t n WHERE n.batch_id <> 1 AND")
+
 
 def _streams() -> dict[str, str]:
     days = ", CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month, CAST(day(event_time) AS INTEGER) AS day"
@@ -227,6 +237,12 @@ def _streams() -> dict[str, str]:
         "ensure_table": with_(SILVER, f"SELECT id, event_time, symbol, price, volume, {named}, event_time AS processed_at{days} FROM silver"),
         "reset_table": with_(SILVER, "SELECT * FROM silver"),
         "dedup_stream": with_(TRADES, "SELECT DISTINCT * FROM t"),
+        "dedup_late": with_(TRADES, "SELECT DISTINCT * FROM t"),
+        "throttle_account": recursive(ACCOUNT, """SELECT batch_id, COUNT(*) AS rows,
+            COUNT(*) FILTER (WHERE batch_id <> 1 AND p.symbol IS NOT NULL) AS passed, COUNT(*) FILTER (WHERE batch_id = 1) AS late,
+            COUNT(*) FILTER (WHERE batch_id <> 1 AND p.symbol IS NULL) AS waiting
+            FROM t LEFT JOIN picked p ON p.symbol = t.symbol AND p.event_time = t.event_time GROUP BY batch_id"""),
+        "hourly_late": _star()["hourly_summary"],
         "throttle": recursive(THROTTLE, passed),
         "throttle_stream": recursive(THROTTLE, passed),
         "throttle_batches": recursive(THROTTLE, passed),

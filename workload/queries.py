@@ -267,6 +267,15 @@ rt_whale_today = _rt(realtime.whale_today)
 rt_density_5m = _rt(realtime.density_5m)
 
 
+def rt_backfilled(spark, sf):
+    """A table partitioned by event day whose rows were processed 45 days after their event."""
+    path, _ = _work(spark)
+    late = F.col("event_time") + F.expr("INTERVAL 45 DAYS")
+    rows = cleaning.add_day_columns(fx.silver(spark, sf).withColumn("processed_at", late))
+    tables.by_day(rows).write.partitionBy("year", "month", "day").parquet(path)
+    return realtime.money_flow(spark.read.parquet(path), fx.NAMES, as_of="2024-02-29 12:00:00")
+
+
 # Streams: run until the input is used up, then read what they wrote
 
 
@@ -305,10 +314,10 @@ def _fan_out(spark, sf):
 
 def fan_out(spark, sf):
     root = _fan_out(spark, sf)
-    ledger = slices.read_slices(spark, f"{root}/ledger")
-    silver = slices.committed(slices.read_slices(spark, f"{root}/silver"), ledger)
+    ledger = ingest.read_ledger(spark, root)
+    silver = ingest.read_silver(spark, root, "id BIGINT")
     lake = slices.read_slices(spark, f"{root}/lake", "symbol STRING, batch_id INT", "json")
-    rejects = slices.read_slices(spark, f"{root}/rejects")
+    rejects = slices.read_slices(spark, f"{root}/rejects", "id BIGINT, value STRING, reject_reason STRING")
     parts = [
         silver.groupBy(F.lit("silver").alias("sink"), F.col("asset_name").alias("detail")).agg(F.count("*").alias("n")),
         lake.groupBy(F.lit("lake").alias("sink"), F.col("symbol").alias("detail")).agg(F.count("*").alias("n")),
@@ -322,8 +331,14 @@ def fan_out(spark, sf):
 
 
 def compact(spark, sf):
-    root = _fan_out(spark, sf)
-    return tables.compact(spark, f"{root}/silver", f"{root}/compacted").select(*CORE, "asset_name", "year", "month", "day")
+    """Compacted after the second of three deliveries, and again after the last."""
+    root, checkpoint = _work(spark)
+    for stream in _out_of_order(spark, root + "_inbox", _messages(spark, sf), F.col("id") % 3):
+        ingest.fan_out(
+            stream, root, checkpoint, fx.NAMES, keep=["id"], limits={"allowed": fx.ALLOWED, "as_of": fx.WHOLE}, trigger=NOW,
+        ).awaitTermination()
+        ingest.compact_silver(spark, root, "id BIGINT")
+    return ingest.read_silver(spark, root, "id BIGINT").select(*CORE, "asset_name", "year", "month", "day")
 
 
 def _filled_table(spark, sf, path, table):
@@ -352,12 +367,24 @@ def reset_table(spark, sf):
     return spark.table(table).select(*CORE)
 
 
+def _copies(rows):
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("volume") % 3).cast("int")))).drop("copy")
+
+
 def dedup_stream(spark, sf):
     path, checkpoint = _work(spark)
-    copies = fx.trade_stream(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("volume") % 3).cast("int"))))
-    rows = stateful.dedup_stream(copies.drop("copy"))
-    ingest.append_files(rows, path, checkpoint, partition_by=(), **NOW).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(path)
+    rows = _copies(fx.trade_stream(spark, sf))
+    stateful.dedup_batches(rows, path, checkpoint, **NOW).awaitTermination()
+    return stateful.read_deduplicated(spark, path, rows)
+
+
+def dedup_late(spark, sf):
+    """Three deliveries out of order, with copies inside each, and all rows once more in a fourth."""
+    path, checkpoint = _work(spark)
+    t = fx.trades(spark, sf)
+    for stream in _out_of_order(spark, path + "_inbox", _copies(t), again=t):
+        stateful.dedup_batches(stream, path, checkpoint, **NOW).awaitTermination()
+    return stateful.read_deduplicated(spark, path, t)
 
 
 THROTTLE_SECONDS = 1800
@@ -369,9 +396,9 @@ def throttle(spark, sf):
 
 def throttle_stream(spark, sf):
     path, checkpoint = _work(spark)
-    stateful.use_rocksdb(spark)
-    rows = stateful.throttle_stream(fx.trade_stream(spark, sf), THROTTLE_SECONDS)
-    ingest.append_files(rows, path, checkpoint, partition_by=(), **NOW).awaitTermination()
+    with stateful.rocksdb(spark):
+        rows = stateful.throttle_stream(fx.trade_stream(spark, sf), THROTTLE_SECONDS)
+        ingest.append_files(rows, path, checkpoint, partition_by=(), **NOW).awaitTermination()
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -382,12 +409,41 @@ def throttle_batches(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{path}/passed").drop("batch_id")
 
 
+def throttle_account(spark, sf):
+    """Three deliveries out of order: what passed, waited or came too late, by batch."""
+    path, checkpoint = _work(spark)
+    for stream in _out_of_order(spark, path + "_inbox", fx.trades(spark, sf)):
+        stateful.throttle_batches(stream, path, checkpoint, THROTTLE_SECONDS, **NOW).awaitTermination()
+    return slices.read_slices(spark, f"{path}/account", stateful.ACCOUNT_DDL)
+
+
 def _flow(spark, sf):
     path, checkpoint = _work(spark)
     rollup.five_minute_stream(fx.silver_stream(spark, sf), path, checkpoint, **NOW).awaitTermination()
     return rollup.read_rollup(spark, path)
 
 
+def _late_flow(spark, sf):
+    """Three deliveries out of order, folded in between; the stream starts anew for each."""
+    path, checkpoint = _work(spark)
+    for stream in _out_of_order(spark, path + "_inbox", fx.silver(spark, sf)):
+        rollup.five_minute_stream(stream, path, checkpoint, **NOW).awaitTermination()
+        rollup.fold_rollup(spark, path)
+    return rollup.read_rollup(spark, path)
+
+
+def vwap_late(spark, sf):
+    return rollup.vwap(_late_flow(spark, sf))
+
+
+def density_late(spark, sf):
+    return rollup.density(_late_flow(spark, sf))
+
+
+def flow_sliding_late(spark, sf):
+    return realtime.sliding_flow(_late_flow(spark, sf))
+
+
 def vwap_stream(spark, sf):
     return rollup.vwap(_flow(spark, sf))
 
@@ -410,17 +466,30 @@ def hourly_stream(spark, sf):
     return marts.hourly_summary(rollup.read_hour_cube(spark, path), fx.dim_symbol(spark))
 
 
+def hourly_late(spark, sf):
+    path, checkpoint = _work(spark)
+    for stream in _out_of_order(spark, path + "_inbox", fx.silver(spark, sf)):
+        rollup.hourly_stream(stream, path, checkpoint, **NOW).awaitTermination()
+        rollup.fold_rollup(spark, path, rollup.CUBE_DDL)
+    return marts.hourly_summary(rollup.read_hour_cube(spark, path), fx.dim_symbol(spark))
+
+
+def _out_of_order(spark, inbox, rows, part=None, again=None):
+    """A stream for each of three deliveries of ``rows``, the second older than the first, then of ``again``."""
+    day = F.dayofmonth("event_time") if part is None else None
+    part = F.when(day <= 10, 1).when(day <= 20, 0).otherwise(2) if part is None else part
+    deliveries = [rows.where(part == n) for n in range(3)] + ([] if again is None else [again])
+    for n, delivery in enumerate(deliveries):
+        delivery.write.parquet(f"{inbox}/delivery={n}")
+        yield spark.readStream.schema(rows.schema).parquet(f"{inbox}/delivery=*")
+
+
 def late_rows(spark, sf):
     """Three deliveries, the middle one ten days late."""
     path, checkpoint = _work(spark)
-    t = fx.trades(spark, sf)
-    day = F.dayofmonth("event_time")
-    inbox = path + "_inbox"
-    for n, part in enumerate((t.where(day.between(11, 20)), t.where(day <= 10), t.where(day >= 21))):
-        part.write.parquet(f"{inbox}/delivery={n}")
-        stream = spark.readStream.schema(t.schema).parquet(f"{inbox}/delivery=*")
+    for stream in _out_of_order(spark, path + "_inbox", fx.trades(spark, sf)):
         stateful.lateness_stream(stream, path, checkpoint, **NOW).awaitTermination()
-    return slices.read_slices(spark, path, stateful.LATENESS_DDL + ", batch_id INT")
+    return slices.read_slices(spark, path, stateful.LATENESS_DDL).drop("high")
 
 
 def score_stream(spark, sf):
@@ -499,9 +568,15 @@ def value_quantile(spark, sf):
 
 
 def retrain_gate(spark, sf):
+    """Two markers: the newer one has fewer rows, as after a reset."""
     rows = fx.silver(spark, sf)
-    before = rows.where(F.col("event_time") < F.lit("2024-01-16").cast("timestamp"))
-    markers = before.agg(F.count("*").alias("row_count")).select(F.lit("price").alias("model"), "row_count")
+
+    def marker(until, trained_at):
+        before = rows.where(F.col("event_time") < F.lit(until).cast("timestamp"))
+        return before.agg(F.count("*").alias("row_count")).select(
+            F.lit("price").alias("model"), "row_count", F.lit(trained_at).cast("timestamp").alias("trained_at"))
+
+    markers = marker("2024-01-25", "2024-01-26").unionByName(marker("2024-01-16", "2024-01-28"))
     return scoring.retrain_gate(rows, markers, "price", 1000)
 
 
