@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from tickloom import schema
+from tickloom.operators import cleaning
 from tickloom.operators.candles import candles
 from tickloom.operators.scoring import gate, retrain_gate
 from tickloom.operators.series import minute_prices
@@ -237,3 +238,25 @@ def test_first_and_last_rows_are_hashed_not_sorted(spark, make_trades):
     assert (row["open"], row["close"]) == (3.0, 4.0)
     text = rows.withColumn("id", F.col("id").cast("string"))
     assert candles(text, 3600).first()["close"] == 4.0  # "9..." is the greatest text
+
+
+def test_lasting_views_show_later_rows(spark, trades, dims):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lasting")
+    rows = cleaning.add_day_columns(cleaning.enrich(trades.withColumn("processed_at", F.col("event_time")), NAMES))
+    try:
+        assert tables.insert_rows(rows.where("id <= 3"), "lasting.ticks").count() == 0  # creates the table
+        views.write_dimensions(*dims, "lasting")
+        views.create_views(spark, "lasting", "ticks", "2026-03-25 17:00:00")
+        for part in ("id <= 3", "id > 0"):
+            if part == "id > 0":
+                tables.insert_rows(rows.where("id > 3"), "lasting.ticks")
+            seen = trades.where(part)
+            for name, want in (("vw_fact_daily_summary", marts.daily_summary(marts.hour_cube(seen), dims[0])),
+                               ("vw_fact_crypto_trades", star.fact_trades(seen, *dims)), ("vw_dim_time", star.dim_time(seen))):
+                got = spark.table(f"lasting.{name}").select(*want.columns)
+                assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+        assert len([t for t in spark.catalog.listTables("lasting") if t.name.startswith("vw_")]) == 12
+        for name, columns in views.DASHBOARD_NAMES.items():
+            assert spark.table(f"lasting.{name}").columns == list(columns) and spark.table(f"lasting.{name}").count() >= 0
+    finally:
+        spark.sql("DROP DATABASE lasting CASCADE")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -86,11 +87,24 @@ def enforce_required(rows: DataFrame, columns: StructType = schema.SILVER) -> tu
     return rows.where(ok), rows.where(~ok)
 
 
-def insert_rows(rows: DataFrame, name: str) -> DataFrame:
-    """Append the complete rows to an existing table; returns the refused ones."""
+def insert_rows(rows: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Append the complete rows to a table; returns the refused ones.
+
+    A table that is not there, or was dropped meanwhile, is created and the insert tried once more.
+    """
+    spark = rows.sparkSession
     good, bad = enforce_required(rows)
-    target = rows.sparkSession.table(name).columns
-    by_day(good).select(*target).write.insertInto(name)
+
+    def insert() -> None:
+        by_day(good).select(*spark.table(name).columns).write.insertInto(name)
+
+    try:
+        insert()
+    except AnalysisException as failure:
+        if failure.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+            raise
+        ensure_table(spark, name, path=path)
+        insert()
     return bad
 
 

@@ -141,6 +141,10 @@ def _star() -> dict[str, str]:
         "trade_id_scaled": with_(LINES, "SELECT id, part, symbol, ROW_NUMBER() OVER (ORDER BY event_time, id, part, symbol) AS trade_id FROM lines"),
         "hourly_summary": with_(FACT, hourly),
         "daily_summary": with_(FACT, daily),
+        "view_hourly_summary": with_(FACT, hourly),
+        "view_daily_summary": with_(FACT, daily),
+        "view_asset_share": with_(FACT, f"""SELECT asset_name, market_cap_tier, COUNT(*) AS trade_count, {rnd('SUM(trade_value)', 2)} AS total_value_usd,
+            {rnd('SUM(volume)', 4)} AS total_volume FROM full_fact GROUP BY asset_name, market_cap_tier"""),
         "price_by_hour": with_(FACT, f"""SELECT strptime(CAST(date_key AS VARCHAR), '%Y%m%d')::DATE AS full_date, hour, asset_name, avg_price,
             high_price, low_price, total_trades_count AS trade_count FROM ({hourly})"""),
         "top_volatility": with_(FACT, f"""SELECT strptime(CAST(date_key AS VARCHAR), '%Y%m%d')::DATE AS full_date, asset_name,
@@ -190,6 +194,7 @@ def _realtime() -> dict[str, str]:
         "rt_density_5m": with_(SILVER, f"SELECT {five}, {name}, COUNT(*) AS trade_count {hour} GROUP BY 1, 2"),
         "rt_whale_today": with_(SILVER, f"""SELECT {name}, {rnd('MAX(price * volume)', 2)} AS largest_order_usd FROM silver
             WHERE event_time >= TIMESTAMP '2024-01-15' AND event_time <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1"""),
+        "view_money_flow": with_(SILVER, f"SELECT {name}, {rnd('SUM(price * volume)', 2)} AS total_usd {hour} GROUP BY 1"),
         "rt_backfilled": with_(SILVER, f"SELECT {name}, {rnd('SUM(price * volume)', 2)} AS total_usd {hour} GROUP BY 1"),
         "vwap_late": with_(SILVER, f"SELECT {five}, symbol, {vwap} AS vwap FROM silver GROUP BY 1, 2"),
         "density_late": with_(SILVER, f"SELECT {five}, symbol, COUNT(*) AS trade_count FROM silver GROUP BY 1, 2"),
@@ -233,6 +238,9 @@ def _streams() -> dict[str, str]:
             UNION ALL SELECT 'rejects', {reason}, COUNT(*) FROM msg WHERE NOT ({good}) GROUP BY 2
             UNION ALL SELECT 'ledger', CASE WHEN {good} THEN 'silver' ELSE 'rejects' END, COUNT(*) FROM msg GROUP BY 2
             UNION ALL SELECT 'ledger', 'lake', COUNT(*) FROM msg WHERE {good}"""),
+        "retrain_gate_ledger": with_(MESSAGES, f"""SELECT 'price' AS model, COUNT(*) AS rows_now, CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END AS rows_at_training,
+            COUNT(*) - CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END AS new_rows,
+            COUNT(*) - CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END >= 1000 AS should_train FROM msg WHERE {good}"""),
         "compact": with_(MESSAGES, f"SELECT id, date_trunc('second', event_time) AS event_time, symbol, price, volume, {named}{days} FROM msg WHERE {good}"),
         "ensure_table": with_(SILVER, f"SELECT id, event_time, symbol, price, volume, {named}, event_time AS processed_at{days} FROM silver"),
         "reset_table": with_(SILVER, "SELECT * FROM silver"),
@@ -258,7 +266,8 @@ def _streams() -> dict[str, str]:
 
 
 GRID = f"""{SILVER}, prices AS (
-  SELECT symbol, date_trunc('minute', event_time) AS minute, arg_max(price, (event_time, id)) AS price FROM silver GROUP BY 1, 2),
+  SELECT symbol, date_trunc('minute', event_time) AS minute, arg_max(price, (event_time, id)) AS price FROM silver
+  WHERE event_time >= TIMESTAMP '2024-01-24' AND event_time <= TIMESTAMP '2024-01-31' GROUP BY 1, 2),
 span AS (SELECT symbol, MIN(minute) AS lo, MAX(minute) AS hi FROM prices GROUP BY symbol),
 every_minute AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS minute FROM span),
 grid AS (

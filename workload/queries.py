@@ -11,7 +11,7 @@ from tickloom.functions import symbols
 from tickloom.functions.numeric import round_half_up
 from tickloom.operators import anomaly, candles as candle_ops, cleaning, numbering, scoring, series
 from tickloom.operators.throttle import throttle as throttle_rows
-from tickloom.plans import marts, realtime, star
+from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import messages as shapes
 from tickloom.sources import tables
 from tickloom.streaming import ingest, rollup, slices, stateful
@@ -238,6 +238,41 @@ def object_counts(spark, sf):
     return marts.object_counts(fx.silver(spark, sf), _cube(spark, sf), *_dims(spark))
 
 
+def _database(spark, sf):
+    """A database with the trades, the dimensions and the twelve views over them."""
+    database = "market_" + os.urandom(6).hex()
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_work(spark)[0]}'")
+    rows = fx.silver(spark, sf).withColumn("processed_at", F.col("event_time"))
+    tables.insert_rows(cleaning.add_day_columns(cleaning.enrich(rows, fx.NAMES)), f"{database}.crypto_trades")
+    views.write_dimensions(*_dims(spark), database)
+    views.create_views(spark, database, "crypto_trades", fx.LAST_HOUR)
+    return database
+
+
+def view_hourly_summary(spark, sf):
+    return spark.sql(f"SELECT * FROM {_database(spark, sf)}.vw_fact_hourly_summary")
+
+
+def view_daily_summary(spark, sf):
+    return spark.sql(f"SELECT * FROM {_database(spark, sf)}.vw_fact_daily_summary")
+
+
+def view_asset_share(spark, sf):
+    """Dashboard SQL over three of the lasting views."""
+    db = _database(spark, sf)
+    return spark.sql(f"""SELECT s.asset_name, s.market_cap_tier, COUNT(*) AS trade_count,
+            CAST(ROUND(CAST(SUM(f.trade_value) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS total_value_usd,
+            CAST(ROUND(CAST(SUM(f.volume) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS total_volume
+        FROM {db}.vw_fact_crypto_trades f JOIN {db}.dim_symbol s ON f.symbol_key = s.symbol_key
+        JOIN {db}.vw_dim_date d ON f.date_key = d.date_key JOIN {db}.vw_dim_time t ON f.time_key = t.time_key
+        GROUP BY s.asset_name, s.market_cap_tier""")
+
+
+def view_money_flow(spark, sf):
+    view = "vw_1_ti_trong_dong_tien_usd_1h"
+    return spark.sql(f"SELECT Dong_Coin AS asset_name, Tong_Tien_USD AS total_usd FROM {_database(spark, sf)}.{view}")
+
+
 def candles(spark, sf):
     return candle_ops.candles(fx.silver(spark, sf), 3600)
 
@@ -507,7 +542,8 @@ def risk_label(spark, sf):
 
 
 def _grid(spark, sf):
-    return series.minute_grid(series.minute_prices(fx.silver(spark, sf)))
+    """The last seven days, the range that forecasts are trained on."""
+    return series.minute_grid(series.minute_prices(series.last_days(fx.silver(spark, sf), fx.WHOLE, 7)))
 
 
 def minute_grid(spark, sf):
@@ -580,6 +616,13 @@ def retrain_gate(spark, sf):
     return scoring.retrain_gate(rows, markers, "price", 1000)
 
 
+def retrain_gate_ledger(spark, sf):
+    """The gate on the counts that the ingest has written down, without a look at the trades."""
+    counted = scoring.count_from_ledger(ingest.read_ledger(spark, _fan_out(spark, sf)))
+    markers = spark.sql("SELECT 'price' AS model, 100L AS row_count, TIMESTAMP '2024-01-28' AS trained_at")
+    return scoring.gate(counted, markers, "price", 1000)
+
+
 def market_context(spark, sf):
     return scoring.market_context(fx.silver(spark, sf))
 
