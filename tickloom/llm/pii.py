@@ -36,7 +36,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": r"(?<![\w+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,4})?|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)",
     "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{Ll}}\p{{M}}]+(?: \p{{Lu}}[\p{{Ll}}\p{{M}}]+)?",
 }
