@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+
 from tickloom.operators import anomaly, scoring, series
 
 

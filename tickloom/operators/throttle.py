@@ -55,13 +55,19 @@ def entry_steps(times: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def passed(times: np.ndarray, since: int, step: int) -> tuple[list[int], int]:
-    """Places of the ticks that pass in a sorted run, and the time from which the next may pass."""
+    """Places of the ticks that pass in a sorted run, and the time from which the next may pass.
+
+    From a tick that passes, all pass up to the next gap shorter than the step.
+    """
     keep: list[int] = []
+    short = np.flatnonzero(np.diff(times) < step)
     at, end = int(np.searchsorted(times, since, side="left")), len(times)
     while at < end:
-        keep.append(at)
-        since = int(times[at]) + step
-        at += 1
+        k = int(np.searchsorted(short, at))
+        last = int(short[k]) if k < len(short) else end - 1
+        keep.extend(range(at, last + 1))
+        since = int(times[last]) + step
+        at = last + 1
         at += int(np.searchsorted(times[at:], since, side="left"))
     return keep, since
 
