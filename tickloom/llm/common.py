@@ -76,4 +76,5 @@ def string_buffers(words: pa.Array) -> tuple[memoryview, np.ndarray]:
 def in_slices(make, texts: pa.Array, rows: int = 1000) -> np.ndarray:
     """``make`` applied to some rows at a time, which bounds what it holds in memory."""
     parts = [make(texts.slice(at, rows)) for at in range(0, len(texts), rows)]
+    pa.default_memory_pool().release_unused()
     return np.concatenate(parts) if parts else make(texts)

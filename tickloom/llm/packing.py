@@ -37,8 +37,8 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = words_to_ids.WordStore.of_worker(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 3000):
-                part = batch.slice(at, 3000)
+            for at in range(0, batch.num_rows, 1500):
+                part = batch.slice(at, 1500)
                 offsets, flat = store.texts_to_ids(part.column("text"))
                 rows, number, start, length, crc, lists = [], [], [], [], [], []
                 for i in range(part.num_rows):
@@ -59,6 +59,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                     columns.append(pa.array(lists, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+            pa.default_memory_pool().release_unused()
 
     schema = f"id {kind}, {PIECE}" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(cut, schema)

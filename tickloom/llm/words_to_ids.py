@@ -84,7 +84,11 @@ def encode_words(words: pa.Array, path: str | None = None) -> tuple[np.ndarray,
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each pair, in a row."""
     ends = np.cumsum(counts)
-    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total < 2**31 and (not total or int(starts.max()) + total < 2**31) else np.int64
+    out = np.repeat((starts - ends + counts).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class WordStore:
@@ -93,7 +97,7 @@ class WordStore:
     Beyond ``limit`` words those met once are forgotten, or all but the more frequent half if that is too little.
     """
 
-    def __init__(self, path: str | None = None, limit: int = 600_000):
+    def __init__(self, path: str | None = None, limit: int = 300_000):
         self.path, self.limit = path, limit
         self.place: dict[str, int] = {}
         self.counts, self.starts, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
