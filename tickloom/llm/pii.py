@@ -232,8 +232,9 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
     named = parts.join(assign(parts, key), ["type", "entity"]).groupBy("value", "kind").agg(
         F.sort_array(F.collect_list(F.struct("part", "surrogate"))).alias("parts"))  # two at most
     shown = common.written(named.select("value", render(F.col("value"), F.col("kind"), F.col("parts.surrogate")).alias("shown")))
-    ready = mentions.join(shown, "value").groupBy(digest).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "shown"))), lambda m: m["shown"]).alias(made))
+    # Written, so that the last join has a plain shuffle on either side, which is split on a frequent text.
+    ready = common.written(mentions.join(shown, "value").groupBy(digest).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "shown"))), lambda m: m["shown"]).alias(made)))
 
     pieces = F.split(F.col(text_col), ENTITY, -1)
     woven = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(F.col(made), i), F.lit("")))), "")
