@@ -14,7 +14,7 @@ A cell beyond ``max_cell`` fingerprints is dealt to blocks, and every pair of bl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -204,15 +204,16 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             grouped: Callable[[DataFrame, str, str], DataFrame] = near_duplicates) -> DataFrame:
     """One row of ``docs``, all columns, of each group of near-duplicates: that with the smallest id.
 
-    Rows with one id are one document. Rows without an id go by their text's hash, behind all ids.
+    ``grouped`` finds the groups, as (id, component_id) of each row. Rows with one id are one document. Rows without an id go by their text's hash, behind all ids.
     """
     name, rank = common.fresh(docs, "name", "rank")
     unnamed = F.shiftrightunsigned(F.xxhash64(text_col), 2).bitwiseOR(F.lit(1 << 62))
     named = docs.withColumn(name, F.coalesce(F.col(id_col).cast("long"), unnamed))
-    groups = near_duplicates(named, name, text_col, width, max_bits)
+    groups = grouped(named, name, text_col)
     chosen = groups.select(F.col("component_id").alias(name)).distinct()
     same = Window.partitionBy(name).orderBy(F.xxhash64(text_col))
     kept = named.join(chosen, name, "left_semi").withColumn(rank, F.row_number().over(same))
