@@ -35,6 +35,26 @@ def test_encode_and_decode_equal_the_library(spark, tokenizer):
         assert r.decoded == r.again == tokenizer.decode(want, skip_special_tokens=False), text
 
 
+def test_null_and_repeated_ids_are_spread_over_blocks(spark, tokenizer):
+    F = bpe.F
+    text = "one and the same text of a document without an id"
+    docs = spark.range(0, 4000, 1, 2).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, text).otherwise(F.concat(F.lit("number "), "id")).alias("text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        coded = bpe.encode(docs, block_bytes=10_000)
+        held = [r["count"] for r in coded.groupBy(F.spark_partition_id()).count().collect()]
+        got = sorted((str(r.doc_id), tuple(r.ids)) for r in coded.collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(held) < 4000 // 4
+    known = {t: tuple(tokenizer.encode(t, add_special_tokens=False).ids) for t in {r.text for r in docs.collect()}}
+    assert got == sorted((str(r.doc_id), known[r.text]) for r in docs.collect())
+
+
 def test_empty_table_and_only_empty_texts(spark):
     docs = spark.createDataFrame([], "doc_id string, text string")
     assert bpe.encode(docs).count() == 0

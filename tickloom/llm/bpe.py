@@ -1,11 +1,11 @@
 """Encode texts through a table of distinct words, and decode ids through a table of pieces.
 
-Documents are dealt to blocks. Each block lists its distinct words by hash bucket; each bucket, which
-holds all blocks' lists, encodes every distinct word once and returns the ids to the blocks; each
-block puts the ids in the places of its words. Between the steps go distinct words and their ids only,
-packed, and the documents are shuffled once. Neither a long text nor a frequent word makes a large
-group: blocks hold documents, buckets distinct words, both dealt by hash, and their number follows
-``spark.sql.shuffle.partitions``.
+Documents are packed into blocks where they are read, and the blocks are written once. Each block lists its
+distinct words by hash bucket; each bucket, which holds all blocks' lists, encodes every distinct word
+once and returns the ids to the blocks; each block puts the ids in the places of its words. Between the
+steps go distinct words and their ids only, packed, and the documents are shuffled once. A block is cut by
+bytes, whatever the ids of its documents are, null or repeated, so the number of blocks follows the input;
+so does that of the buckets, which is at least ``spark.sql.shuffle.partitions``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -23,6 +24,9 @@ from pyspark.sql.types import StringType
 from tickloom.llm import common, words_to_ids
 
 SLICE = 256  # documents turned into ids at a time
+BLOCK_BYTES = 16 << 20  # text of a block; one document may be longer
+ROW_BYTES = 64  # what a document counts beside its text
+BUCKET_BYTES = 64 << 20  # text for each bucket of words
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -60,41 +64,57 @@ def _distinct_words(rows: list[dict]) -> pa.Array:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-           decoded: bool = False) -> DataFrame:
+           decoded: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, ids) of each row, and ``decoded``, the pieces joined by spaces, if asked for.
 
     ``ids`` equals what the tokenizer gives for the whole text without special tokens added. Texts that
     are null or hold only white space have no ids. Rows are kept as they are, repeated ones too; an id may be null.
     """
-    n = common.shuffle_partitions(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                        F.pmod(F.xxhash64(F.col(id_col)), F.lit(2 * n)).cast("int").alias("block"))
 
     def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def block() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            texts = pc.fill_null(table["text"].cast(pa.large_string()), "").combine_chunks()
+            data, ends = common.string_buffers(texts)
+            lists = pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table["id"].combine_chunks())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([task << 32 | made], pa.int64()), lists, pa.array([len(table)], pa.int64()),
+                 pa.array([int(ends[-1] - ends[0])], pa.int64()), pa.array([_squeeze(np.diff(ends).astype(np.int32).tobytes())], pa.binary()),
+                 pa.array([_squeeze(bytes(data[ends[0]:ends[-1]]))], pa.binary())],
+                names=["block", "ids", "n", "raw", "sizes", "texts"])
+
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
+            at, ends = 0, np.cumsum(lengths)
+            while at < batch.num_rows:
+                before = int(ends[at - 1]) if at else 0
+                to = max(int(np.searchsorted(ends, before + block_bytes - size, "right")), at + (not held))
+                if to > at:
+                    held.append(batch.slice(at, to - at))
+                    size += int(ends[to - 1]) - before
+                    at = to
+                if at < batch.num_rows:
+                    yield block()
+                    made, held, size = made + 1, [], 0
+        if held:
+            yield block()
+
+    packed = common.written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        pack_texts, f"block long, ids array<{kind}>, n long, raw long, sizes binary, texts binary"))
+    n = max(common.shuffle_partitions(docs.sparkSession), -(-(packed.agg(F.sum("raw")).first()[0] or 0) // BUCKET_BYTES))
+
+    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            order = np.argsort(block, kind="stable")
-            cut = [p for p in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(p)]
-            sizes, blobs = [], []
-            for part in cut:
-                data, ends = common.string_buffers(
-                    pc.fill_null(batch.column("text").take(pa.array(part)), "").cast(pa.large_string()))
-                sizes.append(_squeeze(np.diff(ends).astype(np.int32).tobytes()))
-                blobs.append(_squeeze(bytes(data[ends[0]:ends[-1]])))
-            starts = np.concatenate([[0], np.cumsum([len(p) for p in cut])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(starts), batch.column("id").take(pa.array(order)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block[p[0]] for p in cut], pa.int32()), ids, pa.array([len(p) for p in cut], pa.int64()),
-                 pa.array(sizes, pa.binary()), pa.array(blobs, pa.binary())], names=["block", "ids", "n", "sizes", "texts"])
-
-    def list_words(key: tuple, table: pa.Table) -> pa.Table:
-        rows = []
-        for bucket, words in _listed(_distinct_words(table.to_pylist()), n):
-            raw = b"\n".join(pc.cast(words, pa.large_binary()).to_pylist())
-            rows.append({"bucket": bucket, "block": key[0].as_py(), "words": _squeeze(raw), "raw": len(raw)})
-        return pa.Table.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary()),
-                                                            ("raw", pa.int64())]))
+            for at in range(batch.num_rows):
+                row, rows = batch.slice(at, 1).to_pylist(), []
+                for bucket, words in _listed(_distinct_words(row), n):
+                    raw = b"\n".join(pc.cast(words, pa.large_binary()).to_pylist())
+                    rows.append({"bucket": bucket, "block": row[0]["block"], "words": _squeeze(raw), "raw": len(raw)})
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+                    ("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("raw", pa.int64())]))
 
     def encode_bucket(table: pa.Table) -> pa.Table:
         lists = [pa.array(pa.decompress(r["words"], r["raw"], codec="zstd", asbytes=True).decode().split("\n"), pa.large_string())
@@ -112,7 +132,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                          "low": _squeeze((ids & 0xFFFF).astype(np.uint16).tobytes()),
                          "high": _squeeze((ids >> 16).astype(np.uint16).tobytes())})
         return pa.Table.from_pylist(rows, schema=pa.schema([
-            ("block", pa.int32()), ("bucket", pa.int32()), ("words", pa.int64()), ("total", pa.int64()),
+            ("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.int64()), ("total", pa.int64()),
             ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary())]))
 
     def join_back(left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -142,12 +162,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         fields = [("id", left.schema.field("ids").type.value_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
         return pa.Table.from_batches(list(join_back(left, right)), schema=pa.schema(fields[:2 + decoded]))
 
-    packed = dealt.mapInArrow(pack_texts, f"block int, ids array<{kind}>, n long, sizes binary, texts binary")
-    listed = packed.groupBy("block").applyInArrow(list_words, "bucket int, block int, words binary, raw long")
+    listed = packed.select("block", "n", "sizes", "texts").mapInArrow(list_words, "bucket int, block long, words binary, raw long")
     known = listed.groupBy("bucket").applyInArrow(
-        encode_bucket, "block int, bucket int, words long, total long, counts binary, low binary, high binary")
+        encode_bucket, "block long, bucket int, words long, total long, counts binary, low binary, high binary")
     result = f"id {kind}, ids array<int>" + (", decoded string" if decoded else "")
-    joined = packed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(join_table, result)
+    joined = packed.drop("raw").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(join_table, result)
     return joined.withColumnRenamed("id", id_col)
 
 
