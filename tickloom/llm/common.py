@@ -25,13 +25,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, **options) -> DataFrame:
     """``df`` written as a table in the cluster's shared folder and read again.
 
     Unlike a checkpoint, its size is known to the optimiser, and its columns can be pruned.
     """
     path = f"{tables.shared_dir(df.sparkSession)}/table"
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
