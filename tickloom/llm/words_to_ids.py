@@ -6,16 +6,18 @@ white space. So the ids of a text are those of its words, put in a row.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tickloom.llm import common
 
 FILE = "word_bpe_49k.json"
-#: Words that are certainly one cut, or two if a full stop or comma follows.
-PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
+#: Letters that the tokenizer keeps together and changes in nothing but their case.
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 TOGETHER = 256
 
 
@@ -34,6 +36,7 @@ def load(path: str | None = None) -> tuple[Tokenizer, np.ndarray, list[str]]:
     key = path or default_path()
     known = getattr(cache, "tokenizers", None)
     if known is None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         known = cache.tokenizers = {}
     if key not in known:
         tokenizer = Tokenizer.from_file(key)
@@ -44,40 +47,73 @@ def load(path: str | None = None) -> tuple[Tokenizer, np.ndarray, list[str]]:
     return known[key]
 
 
+def for_letters(path: str | None = None) -> Tokenizer:
+    """The tokenizer without its normalizer and pattern, which do nothing to lower-case letters parted by spaces."""
+    cache = common.worker_cache()
+    known = cache.__dict__.setdefault("for_letters", {})
+    if path not in known:
+        short = Tokenizer(load(path)[0].model)
+        short.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        known[path] = short
+    return known[path]
+
+
+def joined(words: pa.Array, together: int) -> list[str]:
+    """Some words at a time, parted by spaces."""
+    ends = np.append(np.arange(0, len(words), together), len(words))
+    lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), words.cast(pa.large_string()))
+    return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist() if len(words) else []
+
+
+def as_list(words: pa.Array) -> list[str]:
+    """The words as Python strings, cut from one string, which is faster than one by one."""
+    return joined(words, len(words))[0].split(" ") if len(words) else []
+
+
+def encode_letters(stems: pa.Array, path: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids, ids in a row) of words of lower-case ``LETTERS``."""
+    tokenizer, ends = for_letters(path), load(path)[1]
+    counts, found = [], []
+    for group, encoded in zip(range(0, len(stems), TOGETHER), tokenizer.encode_batch_fast(joined(stems, TOGETHER), add_special_tokens=False), strict=True):
+        ids = np.array(encoded.ids, np.int32)
+        end = np.flatnonzero(ends[ids]) + 1
+        if len(end) != min(TOGETHER, len(stems) - group) or end[-1] != len(ids):
+            raise ValueError("a tokenizer whose words do not end in </w> cannot be used here")
+        counts.append(np.diff(end, prepend=0))
+        found.append(ids)
+    return (np.concatenate([np.empty(0, np.int64), *counts]).astype(np.int64),
+            np.concatenate([np.empty(0, np.int32), *found]).astype(np.int32))
+
+
 def encode_words(words: pa.Array, path: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(number of ids of each word, all ids in a row) of words without white space.
 
-    Plain words are encoded many at a time, parted by spaces, and told apart by the ids that end a cut;
-    all others are encoded one by one.
+    A word of letters is encoded in lower case, many at a time and equal ones once; so is one that a full
+    stop or comma follows, whose id is put behind. All others are encoded one by one.
     """
-    tokenizer, ends, _ = load(path)
-    plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
-    marked = pc.match_substring_regex(words, "[.,]$").to_numpy(zero_copy_only=False)
-    texts = words.to_pylist()
-    counts = np.zeros(len(texts), np.int64)
-    found: list[tuple[np.ndarray, np.ndarray]] = []  # (words, their ids in a row)
-    places = np.flatnonzero(plain)
-    groups = [places[i:i + TOGETHER] for i in range(0, len(places), TOGETHER)]
-    joined = [" ".join([texts[k] for k in g]) for g in groups]
-    single = [np.flatnonzero(~plain)]
-    for group, encoded in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-        ids = np.array(encoded.ids, np.int32)
-        cuts = np.cumsum(1 + marked[group])
-        end = np.flatnonzero(ends[ids]) + 1
-        if len(end) != cuts[-1] or end[-1] != len(ids):
-            single.append(group)
-            continue
-        counts[group] = np.diff(end[cuts - 1], prepend=0)
-        found.append((group, ids))
-    alone = np.concatenate(single)
-    if len(alone):
-        lists = [e.ids for e in tokenizer.encode_batch_fast([texts[k] for k in alone], add_special_tokens=False)]
-        counts[alone] = [len(x) for x in lists]
-        found.append((alone, np.array([i for x in lists for i in x], np.int32)))
-    starts = np.concatenate([[0], np.cumsum(counts)])
-    flat = np.empty(starts[-1], np.int32)
-    for group, ids in found:
-        flat[spread(starts[group], counts[group])] = ids
+    tokenizer, _, _ = load(path)
+    words = words.cast(pa.large_string())
+    stems = pc.replace_substring_regex(words, "[.,]$", "")
+    plain = pc.match_substring_regex(stems, LETTERS).to_numpy(zero_copy_only=False)
+    counts = np.zeros(len(words), np.int64)
+    coded = pc.utf8_lower(stems.filter(pa.array(plain))).dictionary_encode()
+    code, at = coded.indices.to_numpy(), np.flatnonzero(plain)
+    stem_counts, stem_ids = encode_letters(coded.dictionary, path)
+    sizes = pc.binary_length(words).to_numpy() - pc.binary_length(stems).to_numpy()
+    marked = at[sizes[at] > 0]
+    counts[at] = stem_counts[code] + sizes[at]
+    alone = np.flatnonzero(~plain)
+    lists = [e.ids for e in tokenizer.encode_batch_fast(words.take(pa.array(alone)).to_pylist(), add_special_tokens=False)]
+    counts[alone] = [len(x) for x in lists]
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    flat = np.empty(ends[-1] if len(ends) else 0, np.int32)
+    flat[spread(starts[at], stem_counts[code])] = stem_ids[spread((np.cumsum(stem_counts) - stem_counts)[code], stem_counts[code])]
+    if len(marked):
+        stop = pc.ends_with(words.take(pa.array(marked)), ".").to_numpy(zero_copy_only=False)
+        flat[ends[marked] - 1] = np.where(stop, tokenizer.token_to_id(".</w>"), tokenizer.token_to_id(",</w>"))
+    flat[spread(starts[alone], counts[alone])] = np.array([i for x in lists for i in x], np.int32)
     return counts, flat
 
 
@@ -129,7 +165,7 @@ class WordStore:
         coded = words.dictionary_encode()
         if len(self.place) > self.limit:
             self.forget()
-        names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        names, code = as_list(coded.dictionary), coded.indices.to_numpy()
         new = [w for w in names if w not in self.place]
         if new:
             counts, flat = encode_words(pa.array(new, pa.large_string()), self.path)
