@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, neardup, packing, pii, prefix_trie, quality, simhash, token_files, topk, toxicity, url_filter, warc
+from tickloom.llm import alignment, bpe, neardup, packing, pii, prefix_trie, quality, simhash, token_files, topk, toxicity, url_filter, warc
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -77,6 +77,10 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     turns = prefix_trie.numbered(prefix_trie.named_turns(_table(spark, sf_dir, "conversations")))
     trie = prefix_trie.build(*prefix_trie.with_shared_openings(turns))
