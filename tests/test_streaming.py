@@ -227,6 +227,18 @@ def test_throttle_stream_equals_batch_with_a_restart(spark, trades, tmp_path, se
     assert _ids(spark.read.parquet(out)) == _ids(batch.throttle(trades, seconds))
 
 
+def test_throttle_stream_marks_late_ticks(spark, trades, tmp_path):
+    inbox, out, cp = (str(tmp_path / n) for n in ("inbox", "out", "cp"))
+    for lo, hi in ((300, 599), (0, 299)):
+        trades.where(F.col("id").between(lo, hi)).coalesce(1).write.mode("append").parquet(inbox)
+        with stateful.rocksdb(spark):
+            rows = stateful.throttle_stream(_stream(spark, inbox), 5000, late="late")
+            ingest.append_files(rows, out, cp, partition_by=(), **NOW).awaitTermination()
+    got = spark.read.parquet(out)
+    assert _ids(got.where("late")) == list(range(300))
+    assert _ids(got.where("NOT late")) == _ids(batch.throttle(trades.where("id >= 300"), 5000))
+
+
 @pytest.mark.parametrize("seconds", [0.5, 700])
 def test_throttle_of_large_batches_with_restart_and_replay(spark, trades, tmp_path, seconds):
     inbox, out, cp = (str(tmp_path / n) for n in ("inbox", "out", "cp"))

@@ -3,6 +3,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from tickloom.operators import asof
+from tickloom.operators import throttle as module
 from tickloom.operators.throttle import entry_steps, passed, throttle
 
 
@@ -72,3 +76,55 @@ def test_more_partitions_than_rows_and_no_rows(spark, make_trades):
 def test_interval_must_be_positive(make_trades):
     with pytest.raises(ValueError):
         throttle(make_trades([]), 0)
+
+
+def test_a_long_interval_leaves_no_task_with_all_rows(spark, monkeypatch):
+    """The interval is far longer than the time that a partition spans, so nearly every tick is an entry."""
+    held = []
+
+    def counted(df):
+        out = cut(df)
+        rows = out.groupBy(F.spark_partition_id()).count().collect()
+        held.append(([r["count"] for r in rows], df.columns))
+        return out
+
+    cut = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        rows = spark.range(6000).selectExpr("id", "timestamp_seconds(id * 3 + id % 2) event_time", "'HOT' symbol", "1d price", "1d volume")
+        got = throttle(rows, 2000, partitions=32)
+        times = sorted(r[0] for r in got.select(F.unix_seconds("event_time")).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert times == walk([i * 3 + i % 2 for i in range(6000)], 2000)
+    large = [sizes for sizes, _ in held if sum(sizes) > 1000]
+    assert large and max(max(sizes) for sizes in large) < 600
+
+
+ASOF = "id bigint, k string, t bigint"
+
+
+@pytest.mark.parametrize("forward, partitions", [(False, 1), (False, 7), (True, 7), (True, 40)])
+def test_asof_join_against_brute_force(spark, forward, partitions):
+    rng = np.random.default_rng(partitions)
+    left = [(i, None if i % 50 == 0 else "HOT" if i % 3 else f"k{i % 9}", None if i % 41 == 0 else int(rng.integers(0, 400))) for i in range(900)]
+    right = sorted({(None if i % 30 == 0 else "HOT" if i % 2 else f"k{i % 11}", int(rng.integers(0, 400))) for i in range(200)}, key=repr)
+    table = spark.createDataFrame([(*r, f"{r[0]} at {r[1]}") for r in right], "name string, since bigint, note string")
+    got = asof.asof_join(spark.createDataFrame(left, ASOF), table.withColumnRenamed("name", "k"), ["k"], "t", "since", ["since", "note"], ["id"], forward, partitions)
+    want = []
+    for i, k, t in left:
+        fits = [s for name, s in right if t is not None and name == k and (s >= t if forward else s <= t)]
+        best = (min if forward else max)(fits, default=None)
+        want.append((i, k, t, best, None if best is None else f"{k} at {best}"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_asof_join_of_nothing_and_of_clashing_names(spark):
+    left, none = spark.createDataFrame([(1, "a", 5)], ASOF), spark.createDataFrame([], "k string, at bigint, x double")
+    assert [tuple(r) for r in asof.asof_join(left, none, ["k"], "t", "at", ["x"], ["id"]).collect()] == [(1, "a", 5, None)]
+    assert asof.asof_join(left.limit(0), none, ["k"], "t", "at", ["x"], ["id"]).count() == 0
+    with pytest.raises(ValueError):
+        asof.asof_join(left, none.withColumnRenamed("x", "t2").withColumnRenamed("at", "t"), ["k"], "t", "t", ["t"], ["id"])

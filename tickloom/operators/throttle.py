@@ -1,13 +1,19 @@
 """Per-symbol throttle: pass a tick only if ``seconds`` went by since the last passed one.
 
 Whether a tick passes depends on the last tick that passed, so the rule is sequential per symbol.
-It still runs in even pieces, however many rows one symbol has. Rows are range-sorted by
-(symbol, time, id) and cut into partitions; only the first symbol of a partition can continue from
-the one before. For that symbol, pass one works out for every tick that could be passed first
-which tick is then passed last in the partition. That is a step function of a few rows, since a
-wait that crosses the cut ends within one interval. Pass two chains the step functions, giving
-each partition the time from which it may pass its first tick; pass three streams every partition
-once from there. The outcome is exactly that of one sequential walk.
+It still runs in even pieces, however many rows one symbol has and however long the interval is. Rows are
+range-sorted by (symbol, time, id) and cut into partitions; only the first symbol of a partition can continue
+from the one before.
+
+For that symbol, pass one works out for every tick that could be passed first which tick is then passed last in the
+partition: a step function, whose rows are entries. Each entry is sent on, by one as-of join, to the entry of a
+later partition that the walk comes to next. Neighbouring partitions are then composed, level by level: an entry of
+the left one that leads into the right one is sent on to where that leads. With the known first tick, a walk down
+the levels finds in which partitions, and from which tick, the walk goes on: one entry for a partition at most. Pass two
+streams every partition once from there. The outcome is exactly that of one sequential walk.
+
+Entries are as many as the distinct times within one interval of a partition's first tick, so they can be nearly all
+ticks; they lie in tables and joins like other rows, never together in one task.
 """
 
 from __future__ import annotations
@@ -15,12 +21,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.asof import asof_join
 from tickloom.operators.numbering import range_sorted
+from tickloom.sources.tables import cut_lineage
 
 # Earlier than every tick: the first tick of a symbol always passes.
 _START = -(2**62)
@@ -116,6 +123,7 @@ def throttle(
                 (head if last == first else tail).append(times[lo:hi])
         if part is None:
             return
+        begin = int(head[0][0])
         if last == first:
             limit, final = entry_steps(np.concatenate(head), step)
         else:
@@ -127,28 +135,14 @@ def throttle(
                 pa.array([part] * n, pa.int32()),
                 pa.array([first] * n, pa.string()),
                 pa.array([last] * n, pa.string()),
+                pa.array([begin] * n, pa.int64()),
+                pa.array(np.append(_START, limit[:-1]), pa.int64()),
                 pa.array(limit, pa.int64()),
                 pa.array(final, pa.int64()),
             ],
-            names=["_part", "_first", "_last", "_limit", "_final"],
+            names=["_part", "_first", "_last", "_begin", "_above", "_limit", "_final"],
         )
 
-    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Walks the step functions in partition order and keeps one symbol and one time.
-        part, carried, since, pending = None, None, _START, True
-        for pdf in batches:
-            starts = []
-            for p, first, last, limit, final in pdf.itertuples(index=False):
-                if p != part:
-                    if part is None or first != carried:
-                        since = _START
-                    part, pending = p, True
-                    starts.append((p, since))
-                if pending and (first != last or since <= limit):
-                    since, pending = final + step, False
-                carried = last
-            yield pd.DataFrame(starts, columns=["_part", "_from"]).astype("int64")
-
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, since, fresh = None, _START, True
         for batch in batches:
@@ -165,14 +159,91 @@ def throttle(
                 keep.extend(lo + i for i in places)
             yield batch.select(columns).take(pa.array(keep, pa.int64()))
 
-    steps = rows.select(symbol, "_us", "_part").mapInArrow(
-        summarise, "_part int, _first string, _last string, _limit bigint, _final bigint"
-    )
-    starts = (
-        steps.repartition(1)
-        .sortWithinPartitions("_part", "_limit")
-        .mapInPandas(chain, "_part int, _from bigint")
+    entries = rows.select(symbol, "_us", "_part").mapInArrow(
+        summarise, "_part int, _first string, _last string, _begin bigint, _above bigint, _limit bigint, _final bigint"
     )
     # One row per partition: the broadcast is bounded by the number of partitions.
-    entered = rows.join(F.broadcast(starts), "_part").select(*columns, "_us", "_from")
+    entered = rows.join(F.broadcast(entry_times(cut_lineage(entries), step)), "_part").select(*columns, "_us", "_from")
     return entered.mapInArrow(pick, trades.schema)
+
+
+def entry_times(entries: DataFrame, step: int) -> DataFrame:
+    """(_part, _from): the time from which each partition may pass its first tick.
+
+    ``entries`` are the step functions: entered with "pass from r on", partition ``_part``, whose first tick is ``_begin``, passes
+    ``_final`` last if ``_above`` < r <= ``_limit``. A partition that ends with another symbol than it began with
+    has one row, for its last symbol, which starts afresh.
+    """
+    chained, parts = _chains(entries)
+    longest = parts.agg(F.max("idx")).first()[0] or 0
+    walked = chained.where("idx = 0").select("chain", "idx", "limit", "final")
+    if longest:
+        levels = _composed(chained, parts, step, int(longest).bit_length())
+        walked = _walked_down(walked, levels).join(chained.select("chain", "idx", "limit", "final"), ["chain", "idx", "limit"])
+    # What a partition of the chain may pass is after the last tick passed in those before it.
+    places = parts.where("chain_in IS NOT NULL").select("_part", F.col("chain_in").alias("chain"), F.col("idx_in").alias("idx"))
+    places = places.unionByName(parts.where("idx = 0").select(F.lit(None).cast("int").alias("_part"), "chain", "idx"))
+    before = Window.partitionBy("chain").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    since = places.join(walked.select("chain", "idx", "final"), ["chain", "idx"], "left").withColumn("_from", F.max("final").over(before) + step)
+    since = since.where("_part IS NOT NULL").select("_part", "_from")
+    return parts.select("_part").join(since, "_part", "left").select("_part", F.coalesce("_from", F.lit(_START)).alias("_from"))
+
+
+def _chains(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entries by chain, one row for each partition). A chain is the partitions that one symbol runs through.
+
+    It is numbered by the partition where the symbol begins, or begins last, and its partitions by ``idx`` from 0. A
+    partition that a symbol enters and leaves to another has its place at the end of the one chain (``chain_in``,
+    ``idx_in``) and at the start of the next.
+    """
+    parts = entries.groupBy("_part").agg(*[F.min(c).alias(c) for c in ("_first", "_last", "_begin")])
+    order = Window.orderBy("_part")  # one row for each partition
+    goes_on = (F.col("rank") > 0) & F.col("_first").eqNullSafe(F.col("before"))
+    parts = parts.select("*", (F.row_number().over(order) - 1).alias("rank"), F.lag("_last").over(order).alias("before")).withColumn("goes_on", goes_on)
+    begins = ~(F.col("_first").eqNullSafe(F.col("_last")) & F.col("goes_on"))
+    parts = parts.withColumn("chain", F.max(F.when(begins, F.col("rank"))).over(order))
+    parts = parts.withColumn("chain_in", F.when(F.col("goes_on"), F.lag("chain").over(order)))
+    parts = cut_lineage(parts.select("_part", "chain", (F.col("rank") - F.col("chain")).alias("idx"), "chain_in",
+                                     (F.col("rank") - F.col("chain_in")).alias("idx_in"), "_begin"))
+    rows = entries.select("_part", "_above", "_limit", "_final").join(F.broadcast(parts.select("_part", "chain", "idx")), "_part")
+    # A chain is begun with its first tick, whatever else its first partition could be entered with.
+    rows = rows.where((F.col("idx") > 0) | (F.col("_above") == _START))
+    return rows.select("chain", "idx", F.col("_above").alias("above"), F.col("_limit").alias("limit"), F.col("_final").alias("final")), parts
+
+
+def _composed(chained: DataFrame, parts: DataFrame, step: int, levels: int) -> list[DataFrame]:
+    """For each level the entries (chain, idx, limit, to_idx, to_limit) with the entry that the walk comes to behind the entry's
+    node, which is 2 ** level neighbouring partitions.
+
+    Of a node, only entries that a walk from before it can come to are kept: within one interval of its first tick.
+    """
+    left = chained.withColumn("since", F.col("final") + step)
+    right = chained.where("idx > 0").select("chain", F.col("limit").alias("at"), F.col("idx").alias("to_idx"), F.col("limit").alias("to_limit"))
+    now = asof_join(left, right, ["chain"], "since", "at", ["to_idx", "to_limit"], ident=["idx", "limit"], forward=True)
+    names = ["chain", "idx", "above", "limit", "to_idx", "to_limit"]
+    made = [cut_lineage(now.select(*names))]
+    for level in range(levels - 1):
+        node, to_node = F.shiftright("idx", level), F.shiftright("to_idx", level)
+        inward = (node % 2 == 0) & (to_node == node + 1)
+        on = made[-1].select("chain", F.col("idx").alias("to_idx"), F.col("limit").alias("to_limit"), F.col("to_idx").alias("on_idx"), F.col("to_limit").alias("on_limit"))
+        # A chain's partitions are few; where each node begins is broadcast by their number.
+        begin = parts.select("chain", "idx", "_begin").where(f"idx % {2 << level} = 0").select("chain", F.shiftright("idx", level + 1).alias("node"), "_begin")
+        kept = made[-1].withColumn("node", F.shiftright("idx", level + 1)).join(F.broadcast(begin), ["chain", "node"])
+        kept = kept.where(F.col("above") < F.col("_begin") + step).withColumn("inward", F.coalesce(inward, F.lit(False)))
+        sent = kept.where("inward").join(on, ["chain", "to_idx", "to_limit"]).select(
+            "chain", "idx", "above", "limit", F.col("on_idx").alias("to_idx"), F.col("on_limit").alias("to_limit"))
+        made.append(cut_lineage(sent.unionByName(kept.where("NOT inward").select(*names))))
+    return made
+
+
+def _walked_down(starts: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(chain, idx, limit) of all entries that the walks from ``starts`` come to; one for a partition at most."""
+    found = starts.select("chain", "idx", "limit")
+    for level in reversed(range(len(levels))):
+        node, to_node = F.shiftright("idx", level), F.shiftright("to_idx", level)
+        table = levels[level].where((node % 2 == 0) & (to_node == node + 1))
+        # As many as there are partitions at most.
+        following = table.join(F.broadcast(found), ["chain", "idx", "limit"], "left_semi")
+        found = found.unionByName(following.select("chain", F.col("to_idx").alias("idx"), F.col("to_limit").alias("limit")))
+        found = cut_lineage(found)
+    return found

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tickloom.operators.throttle import passed, throttle
 from tickloom.streaming.slices import write_slice
@@ -72,8 +72,8 @@ def read_deduplicated(spark: SparkSession, path: str, trades: DataFrame) -> Data
 class _Throttle(StatefulProcessor):
     """Keeps the time of the last passed tick of a symbol, as epoch microseconds."""
 
-    def __init__(self, step: int, ident: str, columns: list[str]):
-        self.step, self.ident, self.columns = step, ident, columns
+    def __init__(self, step: int, ident: str, columns: list[str], late: str | None):
+        self.step, self.ident, self.columns, self.late = step, ident, columns, late
 
     def init(self, handle) -> None:
         self.last = handle.getValueState("last", StructType([StructField("us", LongType())]))
@@ -81,28 +81,33 @@ class _Throttle(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         ticks = pd.concat(list(rows)).sort_values(["event_time", self.ident])
         since = self.last.get()[0] + self.step if self.last.exists() else -(2**62)
-        places, after = passed(ticks["event_time"].to_numpy(), since, self.step)
+        times = ticks["event_time"].to_numpy()
+        places, after = passed(times, since, self.step)
         if places:
             self.last.update((after - self.step,))
+        if self.late is not None:
+            ticks[self.late] = times < since - self.step
+            places = [*range(int(ticks[self.late].sum())), *places]  # sorted by time: the late ones come first
         yield ticks.iloc[places][self.columns]
 
     def close(self) -> None:
         pass
 
 
-def throttle_stream(trades: DataFrame, seconds: float, ident: str = "id") -> DataFrame:
+def throttle_stream(trades: DataFrame, seconds: float, ident: str = "id", late: str | None = None) -> DataFrame:
     """The throttle on a stream: state is one number per symbol.
 
     A task holds one symbol's ticks of one micro-batch, which the source's admission limit
-    bounds. Ticks older than the last passed one are dropped.
+    bounds. Ticks older than the last passed one come too late to be judged: they are dropped, or, if ``late`` names a
+    column, are put out too and marked by it, so that they can be counted and kept.
     """
     step = int(round(seconds * 1_000_000))
-    columns = trades.columns
     rows = trades.withColumn("event_time", F.unix_micros("event_time"))
+    made = StructType([*rows.schema.fields, *([StructField(late, BooleanType())] if late else [])])
     out = rows.groupBy("symbol").transformWithStateInPandas(
-        _Throttle(step, ident, columns), rows.schema, outputMode="Append", timeMode="None"
+        _Throttle(step, ident, made.names, late), made, outputMode="Append", timeMode="None"
     )
-    return out.withColumn("event_time", F.timestamp_micros("event_time")).select(*columns)
+    return out.withColumn("event_time", F.timestamp_micros("event_time")).select(*made.names)
 
 
 def throttle_batches(trades: DataFrame, path: str, checkpoint: str, seconds: float, ident: str = "id", **trigger) -> StreamingQuery:
