@@ -10,7 +10,7 @@ from tickloom.operators.scoring import count_from_ledger, gate
 from tickloom.plans import marts
 from tickloom.sources import tables
 from tickloom.sources.streams import read_file_stream
-from tickloom.streaming import ingest, rollup, slices, stateful
+from tickloom.streaming import ingest, levels, rollup, slices, stateful
 
 BTC, ETH, BNB, SOL = schema.DEFAULT_SYMBOLS
 AS_OF = "2026-03-27 00:00:00"
@@ -130,7 +130,7 @@ def test_compaction(spark, inbox, tmp_path):
     assert last == before.agg(F.max("batch_id")).first()[0] - 1 and ingest.compact_silver(spark, root, "id bigint") == last
     after = ingest.read_silver(spark, root, "id bigint")
     assert _ids(after) == ids
-    assert len(spark.read.parquet(f"{root}/compacted/upto={last}").inputFiles()) < files / 2
+    assert len(spark.read.parquet(f"{root}/compacted/step={last}").inputFiles()) < files / 2
     # A slice without an entry in the ledger is still being written.
     slices.write_slice(before.drop("batch_id").limit(5), f"{root}/silver", 99, partition_by=ingest.DAYS)
     assert _ids(ingest.read_silver(spark, root, "id bigint")) == ids and ingest.compact_silver(spark, root, "id bigint") == last
@@ -139,6 +139,58 @@ def test_compaction(spark, inbox, tmp_path):
     assert {r["day"] for r in one.select("day").distinct().collect()} == {25}
 
 
+def _size(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files if f.endswith(".parquet"))
+
+
+def test_compaction_rewrites_new_rows_and_their_days_only(spark, tmp_path):
+    """Ten days arrive one by one, then trickles to the first day: what is written follows what is new."""
+    root, n = str(tmp_path / "runs"), {}
+    all_rows = spark.range(0).selectExpr("id", "0 year", "0 month", "0 day")
+    day = lambda k, rows, first: spark.range(first, first + rows).selectExpr("id", "2026 year", "3 month", f"{k} day")
+    steps = [day(k, 400, k * 1000) for k in range(1, 11)] + [day(1, 10, 20_000 + 10 * k) for k in range(12)]
+    for step, fresh in enumerate(steps):
+        n[step] = levels.add(fresh, root, step, ingest.DAYS)
+        all_rows = all_rows.unionByName(fresh)
+        upto, got = levels.read(spark, root, fresh.schema, ingest.DAYS)
+        assert upto == step and got.count() == all_rows.count() and _ids(got) == _ids(all_rows)
+    assert [n[k] for k in range(10)] == [400] * 10
+    # A trickle never takes up the 400 rows of its day, and each of its rows is written a few times.
+    assert max(n[k] for k in range(10, 22)) <= 130 and sum(n[k] for k in range(10, 22)) < 12 * 60
+    manifest = levels.runs(spark, root, 21, ingest.DAYS)
+    assert sum(r["rows"] for r in manifest) == 4120 and len([r for r in manifest if r["day"] == 1]) <= 4
+    # Day 2 is where its own step has put it; steps whose runs were merged away are gone.
+    assert os.path.exists(f"{root}/step=1/year=2026/month=3/day=2")
+    used = {r["step"] for upto in (20, 21) for r in levels.runs(spark, root, upto, ingest.DAYS)}
+    assert {int(d.removeprefix("step=")) for d in os.listdir(root) if d.startswith("step=")} == used
+    assert sorted(d for d in os.listdir(f"{root}/manifest") if d.startswith("upto=")) == ["upto=20", "upto=21"]
+
+
+def test_compaction_survives_a_failed_step_and_keeps_disk_constant(spark, inbox, tmp_path):
+    root = str(tmp_path / "out")
+    _run_fan_out(spark, inbox, root, str(tmp_path / "cp"))
+    ids = _ids(ingest.read_silver(spark, root, "id bigint"))
+    ledger = ingest.read_ledger(spark, root)
+    # A step that wrote its runs and died before the manifest: what it wrote does not count, and is replaced.
+    spark.range(5).selectExpr("id", "2026 year", "3 month", "1 day").write.partitionBy(*ingest.DAYS).parquet(f"{root}/compacted/step=2")
+    assert _ids(ingest.read_silver(spark, root, "id bigint")) == ids
+    last = ingest.compact_silver(spark, root, "id bigint")
+    assert _ids(ingest.read_silver(spark, root, "id bigint")) == ids
+    sizes = []
+    for n in range(4):  # the same batch again and again under new numbers
+        batch = spark.read.schema("id bigint, " + ingest.SILVER_DDL).parquet(f"{root}/silver/batch_id={last + 1}") if n == 0 else batch
+        batch = batch.cache()
+        slices.write_slice(batch, f"{root}/silver", last + 2 + n, partition_by=ingest.DAYS)
+        rows = [(r["sink"], r["status"], r["rows"], r["error"]) for r in ledger.where(F.col("batch_id") == last + 1).collect()]
+        slices.write_slice(schema.local_table(spark, rows, ingest.LEDGER_DDL), f"{root}/ledger", last + 2 + n)
+        assert ingest.compact_silver(spark, root, "id bigint") == last + 1 + n
+        sizes.append((_size(f"{root}/silver"), _size(f"{root}/compacted")))
+    rows = ingest.read_silver(spark, root, "id bigint")
+    assert rows.count() == len(ids) + 4 * batch.count()
+    assert sorted(int(d.removeprefix("batch_id=")) for d in os.listdir(f"{root}/silver") if d.startswith("batch_id=")) == [last + 4, last + 5]
+    assert max(c for _, c in sizes) < 3 * _size(f"{root}/silver") + 2 * sizes[0][1]
+
+
 def test_repair_of_the_second_sink(spark, inbox, tmp_path):
     blocked, root = tmp_path / "lake", str(tmp_path / "out")
     blocked.write_text("a file where a folder should be")

@@ -51,9 +51,11 @@ def _reference(rows, seconds):
     return keep
 
 
+@pytest.mark.parametrize("few", [0, 1 << 16])
 @pytest.mark.parametrize("partitions, seconds", [(1, 13), (5, 1), (5, 100000), (40, 13), (40, 200)])
-def test_equals_sequential_walk(spark, partitions, seconds):
+def test_equals_sequential_walk(spark, monkeypatch, partitions, seconds, few):
     """One symbol has most of the rows and spans many partitions; many ticks share a second."""
+    monkeypatch.setattr(module, "FEW_ENTRIES", few)
     rng = np.random.default_rng(partitions * 1000 + seconds)
     rows = []
     for i in range(3000):
@@ -89,6 +91,7 @@ def test_a_long_interval_leaves_no_task_with_all_rows(spark, monkeypatch):
         return out
 
     cut = module.cut_lineage
+    monkeypatch.setattr(module, "FEW_ENTRIES", 0)
     monkeypatch.setattr(module, "cut_lineage", counted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")

@@ -22,13 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.asof import asof_join
 from tickloom.operators.numbering import range_sorted
+from tickloom.schema import local_table
 from tickloom.sources.tables import cut_lineage
 
+# Entries of all partitions that are walked one after the other at once; more are composed in tables.
+FEW_ENTRIES = 1 << 16
+
 # Earlier than every tick: the first tick of a symbol always passes.
 _START = -(2**62)
 _NEVER = 2**62
@@ -172,8 +176,11 @@ def entry_times(entries: DataFrame, step: int) -> DataFrame:
 
     ``entries`` are the step functions: entered with "pass from r on", partition ``_part``, whose first tick is ``_begin``, passes
     ``_final`` last if ``_above`` < r <= ``_limit``. A partition that ends with another symbol than it began with
-    has one row, for its last symbol, which starts afresh.
+    has one row, for its last symbol, which starts afresh. Up to ``FEW_ENTRIES`` rows are walked as they are.
     """
+    few = entries.limit(FEW_ENTRIES + 1).toArrow()
+    if len(few) <= FEW_ENTRIES:
+        return _walked_at_once(entries.sparkSession, few, step)
     chained, parts = _chains(entries)
     longest = parts.agg(F.max("idx")).first()[0] or 0
     walked = chained.where("idx = 0").select("chain", "idx", "limit", "final")
@@ -189,6 +196,24 @@ def entry_times(entries: DataFrame, step: int) -> DataFrame:
     return parts.select("_part").join(since, "_part", "left").select("_part", F.coalesce("_from", F.lit(_START)).alias("_from"))
 
 
+def _walked_at_once(spark: SparkSession, entries: pa.Table, step: int) -> DataFrame:
+    """What ``entry_times`` gives, of a bounded number of entries."""
+    rows = entries.sort_by([("_part", "ascending"), ("_limit", "ascending")])
+    part = rows["_part"].to_numpy()
+    limits, finals = rows["_limit"].to_numpy(), rows["_final"].to_numpy()
+    bounds = [*np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)] if len(part) else [0]
+    carried, since, out = None, _START, []
+    for lo, hi in zip(bounds, bounds[1:]):
+        first, last = rows["_first"][lo].as_py(), rows["_last"][lo].as_py()
+        since = since if out and first == carried else _START
+        out.append((int(part[lo]), since))
+        at = lo if first != last else lo + int(np.searchsorted(limits[lo:hi], since))
+        since = int(finals[at]) + step if at < hi else since
+        carried = last
+    ddl = "_part int, _from bigint"
+    return local_table(spark, out, ddl) if out else spark.createDataFrame([], ddl)
+
+
 def _chains(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries by chain, one row for each partition). A chain is the partitions that one symbol runs through.
 

@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators import cleaning
 from tickloom.schema import local_table
 from tickloom.sources import messages as shapes
-from tickloom.sources.tables import by_day, compact
-from tickloom.streaming.slices import committed, folded, newest_fold, read_slices, write_slice
+from tickloom.sources.tables import by_day
+from tickloom.streaming import levels
+from tickloom.streaming.slices import committed, drop_slices, folded, read_slices, write_slice
 
 DAYS = ("year", "month", "day")
 SILVER_DDL = ("event_time timestamp, symbol string, asset_name string, price double, volume double, "
@@ -112,28 +113,38 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return read_slices(spark, f"{root}/ledger", LEDGER_DDL)
 
 
+def _silver_slices(spark: SparkSession, root: str, keep: str, columns: str) -> DataFrame:
+    rows = read_slices(spark, f"{root}/silver", ", ".join(x for x in (keep, columns) if x))
+    return committed(rows, read_ledger(spark, root))
+
+
 def read_silver(spark: SparkSession, root: str, keep: str = "", columns: str = SILVER_DDL) -> DataFrame:
-    """Trades of all finished batches: the newest compacted table and the slices after it.
+    """Trades of all finished batches: the compacted runs and the slices after them.
 
     ``keep`` is the schema text of further columns that ``fan_out`` was told to keep.
     """
-    rows = read_slices(spark, f"{root}/silver", ", ".join(x for x in (keep, columns) if x))
-    return folded(spark, committed(rows, read_ledger(spark, root)), f"{root}/compacted")
+    return folded(spark, _silver_slices(spark, root, keep, columns), f"{root}/compacted", DAYS)
 
 
 def compact_silver(spark: SparkSession, root: str, keep: str = "") -> int | None:
-    """Compact all finished batches but the newest; returns the last one covered.
+    """Compact the finished batches that were not, but for the newest; returns the last one covered.
 
-    The table is named by that batch, so ``read_silver`` counts no row twice, and a batch still
-    being written, or replayed later, is not in it.
+    Rows are written anew only for days that occur in these batches, and of these days only what is not much larger
+    than the new rows (see ``levels``). A batch still being written, or replayed later, is not covered, so
+    ``read_silver`` counts no row twice. Slices that the compaction before covered are deleted, but for those whose
+    lake slice is still to be repaired.
     """
     ledger = read_ledger(spark, root)
     newest = ledger.where("sink = 'silver' AND status = 'ok'").agg(F.max("batch_id")).first()[0]
-    before = newest_fold(spark, f"{root}/compacted")
+    before = levels.newest(spark, f"{root}/compacted")
     if newest is None or newest - 1 <= (-1 if before is None else before):
         return before
-    rows = read_silver(spark, root, keep).where(F.col("batch_id") < newest)
-    compact(rows, f"{root}/compacted/upto={newest - 1}")
+    rows = _silver_slices(spark, root, keep, SILVER_DDL)
+    fresh = rows.where((F.col("batch_id") > (-1 if before is None else before)) & (F.col("batch_id") < newest)).drop("batch_id")
+    levels.add(fresh, f"{root}/compacted", newest - 1, DAYS, arrange=lambda r: by_day(r).sortWithinPartitions(*DAYS, "event_time"))
+    if before is not None:
+        broken = [r[0] for r in ledger.where("sink = 'lake' AND status <> 'ok'").select("batch_id").distinct().collect()]
+        drop_slices(spark, f"{root}/silver", before, broken)
     return newest - 1
 
 

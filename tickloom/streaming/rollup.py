@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.numeric import round_half_up
 from tickloom.plans.marts import cube_measures
-from tickloom.sources.tables import delete_folder
-from tickloom.streaming.slices import folded, newest_fold, read_slices, write_slice
+from tickloom.streaming import levels
+from tickloom.streaming.slices import drop_slices, folded, read_slices, write_slice
 
 KEYS = ("bucket_start", "symbol")
 FLOW_DDL = "symbol string, n bigint, sum_value double, sum_volume double, bucket_start timestamp"
@@ -72,19 +72,20 @@ def read_rollup(spark: SparkSession, path: str, schema: str = FLOW_DDL) -> DataF
 
 
 def fold_rollup(spark: SparkSession, path: str, schema: str = FLOW_DDL) -> int | None:
-    """Add up all slices but the newest, which may be replayed, into one; the stream may run meanwhile.
+    """Add up the slices since the last fold but the newest, which may be replayed; the stream may run meanwhile.
 
-    Slices that the fold before this one covers are deleted, so a reader that began with that one still
-    finds what it needs. Returns the number of the last slice folded.
+    They become a run, with those before that are not much larger (see ``levels``). Slices that the fold before this one
+    covers are deleted, so a reader that began with that one still finds what it needs. Returns the number of the
+    last slice folded.
     """
-    rows, before = _slices(spark, path, schema), newest_fold(spark, f"{path}/folds")
+    rows, before = read_slices(spark, f"{path}/slices", schema), levels.newest(spark, f"{path}/folds")
     newest = rows.agg(F.max("batch_id")).first()[0]
     if newest is None or newest - 1 <= (-1 if before is None else before):
         return before
-    added_up(rows.where(F.col("batch_id") < newest)).write.mode("overwrite").parquet(f"{path}/folds/upto={newest - 1}")
+    fresh = rows.where((F.col("batch_id") > (-1 if before is None else before)) & (F.col("batch_id") < newest))
+    levels.add(added_up(fresh).select(*fresh.drop("batch_id").columns), f"{path}/folds", newest - 1, combine=added_up)
     if before is not None:
-        for row in read_slices(spark, f"{path}/slices", schema).where(F.col("batch_id") <= before).select("batch_id").distinct().collect():
-            delete_folder(spark, f"{path}/slices/batch_id={row[0]}")
+        drop_slices(spark, f"{path}/slices", before)
     return newest - 1
 
 

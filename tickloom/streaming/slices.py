@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tickloom.sources.tables import delete_folder
+from tickloom.streaming import levels
+
 
 def write_slice(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     rows.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}/batch_id={batch_id}")
@@ -25,26 +28,29 @@ def read_slices(spark: SparkSession, path: str, schema: str | StructType, fmt: s
     return spark.read.format(fmt).schema(fields).load(path)
 
 
-def newest_fold(spark: SparkSession, path: str) -> int | None:
-    """The largest N for which a finished folder ``upto=N`` is below ``path``."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/upto=*/_SUCCESS")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    return max((int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found or []), default=None)
+def folded(spark: SparkSession, slices: DataFrame, path: str, days: Sequence[str] = ()) -> DataFrame:
+    """``slices`` with those that compacted runs below ``path`` cover replaced by these.
 
-
-def folded(spark: SparkSession, slices: DataFrame, path: str) -> DataFrame:
-    """``slices`` with those that the newest fold covers replaced by it; the fold has its number as ``batch_id``."""
-    last = newest_fold(spark, path)
+    Their rows have the number of the last batch covered as ``batch_id``.
+    """
+    names = [c for c in slices.columns if c != "batch_id"]
+    last, base = levels.read(spark, path, StructType([slices.schema[c] for c in names]), days)
     if last is None:
         return slices
-    names = [c for c in slices.columns if c != "batch_id"]
-    fields = StructType([f for f in slices.schema.fields if f.name != "batch_id"])
-    base = spark.read.schema(fields).parquet(f"{path}/upto={last}")
     later = slices.where(F.col("batch_id") > last)
     return base.select(*names, F.lit(last).cast("int").alias("batch_id")).unionByName(later.select(*names, "batch_id"))
 
 
+def drop_slices(spark: SparkSession, path: str, upto: int, but: Sequence[int] = ()) -> None:
+    """Delete the slices of all batches up to ``upto``, except some."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    for number in (int(f.getPath().getName().removeprefix("batch_id=")) for f in found or []):
+        if number <= upto and number not in but:
+            delete_folder(spark, f"{path}/batch_id={number}")
+
+
 def committed(rows: DataFrame, ledger: DataFrame, sink: str = "silver") -> DataFrame:
     """Only rows of batches the ledger calls done, so a batch in the middle of its write is not seen."""
     done = ledger.where((F.col("sink") == sink) & (F.col("status") == "ok")).select("batch_id").distinct()
