@@ -8,7 +8,7 @@ from tickloom import schema
 from tickloom.operators import cleaning, throttle as batch
 from tickloom.operators.scoring import count_from_ledger, gate
 from tickloom.plans import marts
-from tickloom.sources import tables
+from tickloom.sources import spans, tables
 from tickloom.sources.streams import read_file_stream
 from tickloom.streaming import ingest, levels, rollup, slices, stateful
 
@@ -191,6 +191,46 @@ def test_compaction_survives_a_failed_step_and_keeps_disk_constant(spark, inbox,
     assert max(c for _, c in sizes) < 3 * _size(f"{root}/silver") + 2 * sizes[0][1]
 
 
+def _folders(rows):
+    return {"/".join(f.split("/")[-5:-1]) for f in rows.inputFiles()}
+
+
+def test_last_hour_reads_the_slices_of_that_hour(spark, trades, tmp_path):
+    """Four batches processed an hour apart; two are compacted. Event days say nothing about it."""
+    root = str(tmp_path / "out")
+    rows = cleaning.add_day_columns(trades.where(f"symbol = '{BTC}'"))
+    at = lambda n: F.lit(f"2026-05-01 {10 + n}:15:00").cast("timestamp")
+    for n in range(4):
+        part = rows.where(F.col("id") % 4 == n).withColumns({"asset_name": F.lit("Bitcoin"), "processed_at": at(n)})
+        slices.write_slice(part.select("id", *[c.split()[0] for c in ingest.SILVER_DDL.split(", ")]), f"{root}/silver", n, partition_by=ingest.DAYS)
+        slices.write_slice(spans.measured(part, "processed_at").select(*ingest.DAYS, "rows", "least", "greatest"), f"{root}/spans", n)
+        slices.write_slice(schema.local_table(spark, [("silver", "ok", part.count(), "")], ingest.LEDGER_DDL), f"{root}/ledger", n)
+        if n == 2:
+            assert ingest.compact_silver(spark, root, "id bigint") == 1
+    want = {n: _ids(rows.where(F.col("id") % 4 == n)) for n in range(4)}
+    for n in range(4):
+        got = ingest.read_recent(spark, root, f"2026-05-01 {10 + n}:30:00", 1800, "id bigint")
+        assert _ids(got) == want[n]
+        assert {f.split("/")[0] for f in _folders(got)} == ({"step=1"} if n < 2 else {f"batch_id={n}"})
+    both = ingest.read_recent(spark, root, "2026-05-01 13:15:00", 7200, "id bigint")
+    assert _ids(both) == sorted(want[1] + want[2] + want[3])
+    none = ingest.read_recent(spark, root, "2026-05-02 13:15:00", 3600, "id bigint")
+    assert none.count() == 0 and not none.inputFiles()
+
+
+def test_spans_choose_days(spark, trades, tmp_path):
+    path = str(tmp_path / "t")
+    rows = cleaning.add_day_columns(trades.withColumn("processed_at", F.expr("event_time + interval 45 days")))
+    for half in ("id < 300", "id >= 300"):
+        spans.append(rows.where(half), path, "processed_at")
+    got = spans.read_between(spark, path, rows.schema, "processed_at", "2026-05-10 01:00:00", "2026-05-10 02:00:00")
+    want = rows.where("processed_at between timestamp '2026-05-10 01:00:00' and timestamp '2026-05-10 02:00:00'")
+    assert _ids(got) == _ids(want) and len(_ids(got)) == 16
+    assert {f.split("/")[-1] for f in _folders(got)} == {"day=26"}
+    assert spark.read.schema(rows.schema).parquet(path).count() == 600
+    assert spans.read_between(spark, path, rows.schema, "processed_at", "2027-01-01", "2027-01-02").count() == 0
+
+
 def test_repair_of_the_second_sink(spark, inbox, tmp_path):
     blocked, root = tmp_path / "lake", str(tmp_path / "out")
     blocked.write_text("a file where a folder should be")

@@ -23,12 +23,18 @@ def as_instant(value) -> Column:
         return F.current_timestamp()
     if isinstance(value, Column):
         return value
+    return F.timestamp_micros(F.lit(epoch_micros(value)))
+
+
+def epoch_micros(value) -> int:
+    """The same point in time in microseconds, on the driver."""
+    if value is None:
+        value = datetime.now(timezone.utc)
     if isinstance(value, str):
         value = datetime.fromisoformat(value)
     if value.tzinfo is None:
         value = value.replace(tzinfo=timezone.utc)
-    micros = int(value.timestamp()) * 1_000_000 + value.microsecond
-    return F.timestamp_micros(F.lit(micros))
+    return int(value.timestamp()) * 1_000_000 + value.microsecond
 
 
 def _wall_clock(text: Column, source_tz: str) -> Column:

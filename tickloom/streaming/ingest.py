@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from tickloom.functions import clock
 from tickloom.operators import cleaning
 from tickloom.schema import local_table
 from tickloom.sources import messages as shapes
+from tickloom.sources import spans
 from tickloom.sources.tables import by_day
 from tickloom.streaming import levels
 from tickloom.streaming.slices import committed, drop_slices, folded, read_slices, write_slice
@@ -70,7 +74,8 @@ def fan_out(
 ) -> StreamingQuery:
     """Write accepted trades, rejects, a JSON lake and a ledger of counts from one query.
 
-    ``silver`` and ``rejects`` are primary: their failure fails the batch, which is then replayed.
+    ``spans`` keeps, for each batch and event day, the least and greatest processing time, by which last-hour views choose
+    what they read. ``silver`` and ``rejects`` are primary: their failure fails the batch, which is then replayed.
     ``lake`` is secondary: its failure goes to the ledger and the stream goes on. Every sink is
     written per batch id, so a replay overwrites. A batch is cached because it is written more
     than once; should an executor be lost, its part is computed again from the source.
@@ -82,8 +87,12 @@ def fan_out(
         rows = cleaning.enrich(rows, dict(names))
         rows = rows.persist()
         try:
-            # At most one row per reason comes to the driver.
-            counts = {r["reject_reason"]: r["count"] for r in rows.groupBy("reject_reason").count().collect()}
+            # At most one row per reason and event day comes to the driver.
+            at = F.unix_micros("processed_at")
+            counted = rows.groupBy("reject_reason", *DAYS).agg(F.count("*").alias("n"), F.min(at).alias("least"), F.max(at).alias("greatest")).collect()
+            counts = Counter()
+            for r in counted:
+                counts[r["reject_reason"]] += r["n"]
             good = cleaning.accepted(rows)
             columns = [*keep, "event_time", "symbol", "asset_name", "price", "volume", "processed_at", *DAYS]
             silver = good.select(*columns)
@@ -91,6 +100,8 @@ def fan_out(
             write_slice(by_day(silver), f"{root}/silver", batch_id, partition_by=DAYS)
             bad = cleaning.rejected(rows).select(*keep, F.col(value).cast("string").alias("value"), "reject_reason")
             write_slice(bad, f"{root}/rejects", batch_id, partition_by=["reject_reason"])
+            kept_spans = [(*(r[d] for d in DAYS), r["n"], r["least"], r["greatest"]) for r in counted if r["reject_reason"] is None]
+            write_slice(spans.table(batch.sparkSession, kept_spans, DAYS), f"{root}/spans", batch_id)
             accepted = counts.pop(None, 0)
             entries = [("silver", "ok", accepted, ""), ("rejects", "ok", sum(counts.values()), "")]
             try:
@@ -126,6 +137,26 @@ def read_silver(spark: SparkSession, root: str, keep: str = "", columns: str = S
     return folded(spark, _silver_slices(spark, root, keep, columns), f"{root}/compacted", DAYS)
 
 
+def read_recent(spark: SparkSession, root: str, as_of=None, seconds: int = 3600, keep: str = "", columns: str = SILVER_DDL) -> DataFrame:
+    """What ``read_silver`` gives of trades processed in the ``seconds`` up to ``as_of`` (None: now).
+
+    Only the runs, slices and event days are listed and read whose span of processing times reaches into that time.
+    """
+    high = clock.epoch_micros(as_of)
+    between = high - seconds * 1_000_000, high
+    upto = levels.newest(spark, f"{root}/compacted")
+    listed = committed(read_slices(spark, f"{root}/spans", spans.ddl(DAYS)), read_ledger(spark, root))
+    listed = listed.where((F.col("batch_id") > (-1 if upto is None else upto)) & (F.col("least") <= between[1]) & (F.col("greatest") >= between[0]))
+    found = listed.select("batch_id", *DAYS).collect()  # the batches since the last compaction, by day
+    fields = StructType.fromDDL(", ".join(x for x in (keep, columns, "batch_id int") if x))
+    folders = [f"{root}/silver/batch_id={r['batch_id']}/" + "/".join(f"{d}={r[d]}" for d in DAYS) for r in found]
+    rows = spark.createDataFrame([], fields)
+    if folders:
+        rows = spark.read.schema(fields).option("basePath", f"{root}/silver").parquet(*folders).select(*fields.names)
+    rows = folded(spark, rows, f"{root}/compacted", DAYS, between)
+    return rows.where(F.unix_micros("processed_at").between(*between))
+
+
 def compact_silver(spark: SparkSession, root: str, keep: str = "") -> int | None:
     """Compact the finished batches that were not, but for the newest; returns the last one covered.
 
@@ -141,10 +172,12 @@ def compact_silver(spark: SparkSession, root: str, keep: str = "") -> int | None
         return before
     rows = _silver_slices(spark, root, keep, SILVER_DDL)
     fresh = rows.where((F.col("batch_id") > (-1 if before is None else before)) & (F.col("batch_id") < newest)).drop("batch_id")
-    levels.add(fresh, f"{root}/compacted", newest - 1, DAYS, arrange=lambda r: by_day(r).sortWithinPartitions(*DAYS, "event_time"))
+    levels.add(fresh, f"{root}/compacted", newest - 1, DAYS, span="processed_at",
+               arrange=lambda r: by_day(r).sortWithinPartitions(*DAYS, "processed_at", "event_time"))
     if before is not None:
         broken = [r[0] for r in ledger.where("sink = 'lake' AND status <> 'ok'").select("batch_id").distinct().collect()]
         drop_slices(spark, f"{root}/silver", before, broken)
+        drop_slices(spark, f"{root}/spans", before)
     return newest - 1
 
 

@@ -43,10 +43,14 @@ def newest(spark: SparkSession, path: str) -> int | None:
     return max(manifests(spark, path), default=None)
 
 
+def _ddl(days: Sequence[str]) -> str:
+    return ", ".join([*(f"{d} int" for d in days), "step int", "rows bigint", "least bigint", "greatest bigint"])
+
+
 def runs(spark: SparkSession, path: str, upto: int, days: Sequence[str]) -> list[Row]:
-    """(days..., step, rows) of each run of a manifest: as many as there are days, times the logarithm of a day's size."""
-    ddl = ", ".join([*(f"{d} int" for d in days), "step int", "rows bigint"])
-    return spark.read.schema(ddl).parquet(f"{path}/manifest/upto={upto}").collect()
+    """(days..., step, rows, least, greatest) of each run of a manifest: as many as there are days, times the logarithm of a
+    day's size. ``least`` and ``greatest`` are microseconds, null if no column was named whose span is kept."""
+    return spark.read.schema(_ddl(days)).parquet(f"{path}/manifest/upto={upto}").collect()
 
 
 def _folder(path: str, run: Row, days: Sequence[str]) -> str:
@@ -63,18 +67,25 @@ def _read(spark: SparkSession, path: str, chosen: Sequence[Row], fields: StructT
     return spark.read.schema(whole).option("basePath", path).parquet(*folders).select(*names)
 
 
-def read(spark: SparkSession, path: str, fields: StructType, days: Sequence[str] = ()) -> tuple[int | None, DataFrame]:
-    """(last batch covered, its rows) by the newest manifest."""
+def read(spark: SparkSession, path: str, fields: StructType, days: Sequence[str] = (),
+         between: tuple[int, int] | None = None) -> tuple[int | None, DataFrame]:
+    """(last batch covered, its rows) by the newest manifest.
+
+    ``between`` leaves out runs whose span, in microseconds, lies outside.
+    """
     upto = newest(spark, path)
     chosen = [] if upto is None else runs(spark, path, upto, days)
+    if between:
+        chosen = [r for r in chosen if r["least"] is None or (r["least"] <= between[1] and r["greatest"] >= between[0])]
     return upto, _read(spark, path, chosen, fields, days)
 
 
 def add(fresh: DataFrame, path: str, upto: int, days: Sequence[str] = (), combine: Callable[[DataFrame], DataFrame] | None = None,
-        arrange: Callable[[DataFrame], DataFrame] | None = None) -> int:
+        arrange: Callable[[DataFrame], DataFrame] | None = None, span: str | None = None) -> int:
     """Take in ``fresh``, the rows of the batches after the newest manifest up to ``upto``; returns how many rows were written.
 
     ``combine`` adds up rows that are merged (all columns stay); ``arrange`` puts rows in place before they are written.
+    Of the timestamp column ``span`` each run's least and greatest value is kept in the manifest.
     """
     spark, days = fresh.sparkSession, list(days)
     before = newest(spark, path)
@@ -98,10 +109,12 @@ def add(fresh: DataFrame, path: str, upto: int, days: Sequence[str] = (), combin
         rows = arrange(rows) if arrange else rows
         rows.select(*fresh.columns).write.mode("overwrite").partitionBy(*days).parquet(f"{path}/step={upto}")
         stored = spark.read.schema(fresh.schema).parquet(f"{path}/step={upto}")
-        made = [(*(r[d] for d in days), upto, r["n"]) for r in stored.groupBy(*days).agg(F.count("*").alias("n")).collect() if r["n"]]
-        written = sum(r[-1] for r in made)
-    listed = [(*(r[d] for d in days), r["step"], r["rows"]) for r in kept] + made
-    ddl = ", ".join([*(f"{d} int" for d in days), "step int", "rows bigint"])
+        ends = [f(F.unix_micros(span) if span else F.lit(None).cast("bigint")).alias(name) for f, name in ((F.min, "least"), (F.max, "greatest"))]
+        made = [(*(r[d] for d in days), upto, r["n"], r["least"], r["greatest"])
+                for r in stored.groupBy(*days).agg(F.count("*").alias("n"), *ends).collect() if r["n"]]
+        written = sum(r[len(days) + 1] for r in made)
+    listed = [(*(r[d] for d in days), r["step"], r["rows"], r["least"], r["greatest"]) for r in kept] + made
+    ddl = _ddl(days)
     manifest = local_table(spark, listed, ddl) if listed else spark.createDataFrame([], ddl)
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/upto={upto}")
     clean(spark, path, days)

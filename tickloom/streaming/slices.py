@@ -28,13 +28,13 @@ def read_slices(spark: SparkSession, path: str, schema: str | StructType, fmt: s
     return spark.read.format(fmt).schema(fields).load(path)
 
 
-def folded(spark: SparkSession, slices: DataFrame, path: str, days: Sequence[str] = ()) -> DataFrame:
+def folded(spark: SparkSession, slices: DataFrame, path: str, days: Sequence[str] = (), between: tuple[int, int] | None = None) -> DataFrame:
     """``slices`` with those that compacted runs below ``path`` cover replaced by these.
 
-    Their rows have the number of the last batch covered as ``batch_id``.
+    Their rows have the number of the last batch covered as ``batch_id``. ``between`` leaves out runs outside of it.
     """
     names = [c for c in slices.columns if c != "batch_id"]
-    last, base = levels.read(spark, path, StructType([slices.schema[c] for c in names]), days)
+    last, base = levels.read(spark, path, StructType([slices.schema[c] for c in names]), days, between)
     if last is None:
         return slices
     later = slices.where(F.col("batch_id") > last)

@@ -241,6 +241,7 @@ def _streams() -> dict[str, str]:
         "retrain_gate_ledger": with_(MESSAGES, f"""SELECT 'price' AS model, COUNT(*) AS rows_now, CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END AS rows_at_training,
             COUNT(*) - CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END AS new_rows,
             COUNT(*) - CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END >= 1000 AS should_train FROM msg WHERE {good}"""),
+        "rt_ingested": with_(MESSAGES, f"SELECT {named}, COUNT(*) AS trade_count FROM msg WHERE {good} GROUP BY 1"),
         "compact": with_(MESSAGES, f"SELECT id, date_trunc('second', event_time) AS event_time, symbol, price, volume, {named}{days} FROM msg WHERE {good}"),
         "ensure_table": with_(SILVER, f"SELECT id, event_time, symbol, price, volume, {named}, event_time AS processed_at{days} FROM silver"),
         "reset_table": with_(SILVER, "SELECT * FROM silver"),

@@ -12,7 +12,7 @@ from tickloom.operators import anomaly, candles as candle_ops, cleaning, numberi
 from tickloom.operators.throttle import throttle as throttle_rows
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import messages as shapes
-from tickloom.sources import tables
+from tickloom.sources import spans, tables
 from tickloom.streaming import ingest, rollup, slices, stateful
 from workload import fixtures as fx
 
@@ -302,12 +302,27 @@ rt_density_5m = _rt(realtime.density_5m)
 
 
 def rt_backfilled(spark, sf):
-    """A table partitioned by event day whose rows were processed 45 days after their event."""
+    """A table partitioned by event day whose rows were processed 45 days after their event.
+
+    Of its folders only those are read whose processing times reach into the hour.
+    """
     path, _ = _work(spark)
     late = F.col("event_time") + F.expr("INTERVAL 45 DAYS")
     rows = cleaning.add_day_columns(fx.silver(spark, sf).withColumn("processed_at", late))
-    tables.by_day(rows).write.partitionBy("year", "month", "day").parquet(path)
-    return realtime.money_flow(spark.read.parquet(path), fx.NAMES, as_of="2024-02-29 12:00:00")
+    spans.append(tables.by_day(rows), path, "processed_at")
+    hour = spans.read_between(spark, path, rows.schema, "processed_at", "2024-02-29 11:00:00", "2024-02-29 12:00:00")
+    return realtime.money_flow(hour, fx.NAMES, as_of="2024-02-29 12:00:00")
+
+
+def rt_ingested(spark, sf):
+    """The last hour of what three deliveries have brought in, compacted in between: all of it."""
+    root, checkpoint = _work(spark)
+    for stream in _out_of_order(spark, root + "_inbox", _messages(spark, sf), F.col("id") % 3):
+        ingest.fan_out(
+            stream, root, checkpoint, fx.NAMES, keep=["id"], limits={"allowed": fx.ALLOWED, "as_of": fx.WHOLE}, trigger=NOW,
+        ).awaitTermination()
+        ingest.compact_silver(spark, root, "id BIGINT")
+    return realtime.trade_count(ingest.read_recent(spark, root, keep="id BIGINT"), fx.NAMES)
 
 
 # Streams: run until the input is used up, then read what they wrote
