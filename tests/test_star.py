@@ -7,7 +7,7 @@ from conftest import plan_of
 from tickloom import schema
 from tickloom.operators import cleaning
 from tickloom.operators.candles import candles
-from tickloom.operators.scoring import gate, retrain_gate
+from tickloom.operators.scoring import count_from_footers, footer_count, gate, retrain_gate
 from tickloom.operators.series import minute_prices
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import tables
@@ -188,6 +188,15 @@ def test_counting_a_table_reads_no_column(stored, spark):
     assert "ReadSchema: struct<>" in plan_of(retrain_gate(stored, markers, "m"))
 
 
+def test_count_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id % 4 day").repartition(3).write.partitionBy("day").parquet(path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert "PushedAggregation: [COUNT(*)]" in plan_of(footer_count(spark, path))
+    assert count_from_footers(spark, path).first()[0] == 1000
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before and "PushedAggregation" not in plan_of(spark.read.parquet(path).agg({"*": "count"}))
+
+
 def test_views(spark, stored, dims):
     views.register_star_views(stored, *dims)
     got = spark.sql(

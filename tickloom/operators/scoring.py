@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema
+from tickloom.schema import local_table
 
 MARKER_DDL = "model string, row_count bigint, trained_at timestamp"
 
@@ -51,8 +53,8 @@ def score(
 def retrain_gate(trades: DataFrame, markers: DataFrame, model: str, threshold: int = schema.RETRAIN_ROWS) -> DataFrame:
     """One row: rows now, rows at the last training, the difference and whether to train.
 
-    Counting Parquet needs no column, so only file footers are read. ``count_from_ledger``
-    replaces even that for tables written by the fan-out stream.
+    ``trades`` may be any rows; counting a whole Parquet table this way opens every file but decodes no column. With
+    ``count_from_footers`` only footers are read, with ``count_from_ledger`` no file of the table at all.
     """
     return gate(trades.agg(F.count("*").alias("row_count")), markers, model, threshold)
 
@@ -76,6 +78,24 @@ def gate(current: DataFrame, markers: DataFrame, model: str, threshold: int) ->
     )
 
 
+def footer_count(spark: SparkSession, path: str) -> DataFrame:
+    """The count of a Parquet table, pushed into the scan, so that it reads the row counts in the files' footers only.
+
+    Only the newer reader does that, and only if told so; the table is read in a session of its own, and the caller's
+    settings stay as they are.
+    """
+    own = spark.newSession()
+    sources = own.conf.get("spark.sql.sources.useV1SourceList")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in sources.split(",") if s.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.count("*").alias("row_count"))
+
+
+def count_from_footers(spark: SparkSession, path: str) -> DataFrame:
+    """row_count of a Parquet table, partitioned or not; counted when called."""
+    return local_table(spark, [(footer_count(spark, path).first()[0],)], "row_count bigint")
+
+
 def count_from_ledger(ledger: DataFrame, sink: str = "silver") -> DataFrame:
     """row_count from the per-batch counts of the fan-out stream."""
     return ledger.where((F.col("sink") == sink) & (F.col("status") == "ok")).select(
@@ -97,8 +117,8 @@ def retrain_if_due(trades: DataFrame, markers_path: str, model: str, train: Call
     spark = trades.sparkSession
     try:
         markers = spark.read.schema(MARKER_DDL).parquet(markers_path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         markers = spark.createDataFrame([], MARKER_DDL)
     row = retrain_gate(trades, markers, model, threshold).first()

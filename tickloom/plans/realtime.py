@@ -1,8 +1,10 @@
 """Views over the last hour, or the current day, of the cleaned table.
 
-``as_of`` is the moment of reading (None = now); ``names`` maps a symbol to its asset name. The time
+``as_of`` is the moment of reading (None = now); ``names`` maps a symbol to its asset name. Views are not
+sorted: readers that need an order put it on the few rows they get. The time
 looked at is the processing time. It says nothing about the event days that a table is partitioned by, so
-all of them are read, unless ``max_past`` says how many seconds a trade can be older than its processing.
+all of them are read, unless ``max_past`` says how many seconds a trade can be older than its processing, or
+the rows come from ``ingest.read_recent`` or ``spans.read_between``, which choose files by processing time.
 """
 
 from __future__ import annotations
@@ -72,21 +74,21 @@ def trade_count(trades: DataFrame, names: Mapping[str, str], as_of=None, when: s
 def minute_flow(trades: DataFrame, as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
     return last_hour(trades, as_of, when, max_past).groupBy(clock.bucket(F.col(when), 60).alias("minute")).agg(
         F.count("*").alias("trade_count"), round_half_up(F.sum(_value()), 2).alias("total_usd")
-    ).orderBy("minute")
+    )
 
 
 def vwap_5m(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
     rows = last_hour(trades, as_of, when, max_past)
     return rows.groupBy(clock.bucket(F.col(when), 300).alias("bucket_start"), _asset(names)).agg(
         round_half_up(F.try_divide(F.sum(_value()), F.sum("volume")), 4).alias("vwap")
-    ).orderBy("bucket_start", "asset_name")
+    )
 
 
 def density_5m(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:
     rows = last_hour(trades, as_of, when, max_past)
     return rows.groupBy(clock.bucket(F.col(when), 300).alias("bucket_start"), _asset(names)).agg(
         F.count("*").alias("trade_count")
-    ).orderBy("bucket_start", "asset_name")
+    )
 
 
 def whale_today(trades: DataFrame, names: Mapping[str, str], as_of=None, when: str = "processed_at", max_past: int | None = None) -> DataFrame:

@@ -48,6 +48,11 @@ PARSE_ERROR = """CASE k WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'missing_fields
   WHEN 3 THEN 'invalid_time' WHEN 4 THEN 'invalid_format' END"""
 
 
+GATE = """SELECT 'price' AS model, COUNT(*) AS rows_now, COUNT(*) FILTER (WHERE event_time < TIMESTAMP '2024-01-16') AS rows_at_training,
+    COUNT(*) FILTER (WHERE event_time >= TIMESTAMP '2024-01-16') AS new_rows,
+    COUNT(*) FILTER (WHERE event_time >= TIMESTAMP '2024-01-16') >= 1000 AS should_train FROM silver"""
+
+
 def rnd(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,9)), {n}) AS DOUBLE)"
 
@@ -315,9 +320,8 @@ def _models() -> dict[str, str]:
                                 FROM silver GROUP BY symbol) q ON s.symbol = q.symbol
             WHERE greatest(abs((price - mp) / sp), abs((volume - mv) / sv)) > 2.0"""),
         "value_quantile": with_(LINES, "SELECT quantile_cont(price * volume, 0.98) AS quantile FROM lines"),
-        "retrain_gate": with_(SILVER, """SELECT 'price' AS model, COUNT(*) AS rows_now, COUNT(*) FILTER (WHERE event_time < TIMESTAMP '2024-01-16') AS rows_at_training,
-            COUNT(*) FILTER (WHERE event_time >= TIMESTAMP '2024-01-16') AS new_rows,
-            COUNT(*) FILTER (WHERE event_time >= TIMESTAMP '2024-01-16') >= 1000 AS should_train FROM silver"""),
+        "retrain_gate": with_(SILVER, GATE),
+        "retrain_gate_footers": with_(SILVER, GATE),
         "market_context": with_(SILVER + """, top AS (SELECT * FROM silver ORDER BY event_time DESC, id DESC LIMIT 5),
             ctx AS (SELECT '[' || string_agg('{"symbol":"' || symbol || '","price":' || CAST(price AS VARCHAR) || ',"volume":' || CAST(volume AS VARCHAR)
                 || ',"timestamp":"' || strftime(date_trunc('millisecond', event_time), '%Y-%m-%dT%H:%M:%S.%g') || '"}', ',' ORDER BY event_time DESC, id DESC) || ']' AS context FROM top)""",

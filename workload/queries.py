@@ -617,17 +617,28 @@ def value_quantile(spark, sf):
     return numbering.exact_quantile(rows, "value", 0.98, "id")
 
 
-def retrain_gate(spark, sf):
+def _markers(rows):
     """Two markers: the newer one has fewer rows, as after a reset."""
-    rows = fx.silver(spark, sf)
 
     def marker(until, trained_at):
         before = rows.where(F.col("event_time") < F.lit(until).cast("timestamp"))
         return before.agg(F.count("*").alias("row_count")).select(
             F.lit("price").alias("model"), "row_count", F.lit(trained_at).cast("timestamp").alias("trained_at"))
 
-    markers = marker("2024-01-25", "2024-01-26").unionByName(marker("2024-01-16", "2024-01-28"))
-    return scoring.retrain_gate(rows, markers, "price", 1000)
+    return marker("2024-01-25", "2024-01-26").unionByName(marker("2024-01-16", "2024-01-28"))
+
+
+def retrain_gate(spark, sf):
+    rows = fx.silver(spark, sf)
+    return scoring.retrain_gate(rows, _markers(rows), "price", 1000)
+
+
+def retrain_gate_footers(spark, sf):
+    """The gate on the day-partitioned table, counted from its files' footers."""
+    path, _ = _work(spark)
+    rows = cleaning.add_day_columns(fx.silver(spark, sf))
+    tables.by_day(rows).write.partitionBy("year", "month", "day").parquet(path)
+    return scoring.gate(scoring.count_from_footers(spark, path), _markers(spark.read.schema(rows.schema).parquet(path)), "price", 1000)
 
 
 def retrain_gate_ledger(spark, sf):
