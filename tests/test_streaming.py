@@ -1,11 +1,12 @@
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schema
-from tickloom.operators import cleaning, throttle as batch
+from tickloom.operators import cleaning, keyfilter, throttle as batch
 from tickloom.operators.scoring import count_from_ledger, gate
 from tickloom.plans import marts
 from tickloom.sources import spans, tables
@@ -297,6 +298,53 @@ def test_deduplication_across_batches(spark, trades, tmp_path):
         assert _ids(stateful.read_deduplicated(spark, out, trades)) == list(range(600))
 
 
+def test_deduplication_reads_only_slices_that_may_hold_its_keys(spark, trades, tmp_path, monkeypatch):
+    """Ten batches of one day; then new rows only, and then copies of the third batch among new ones."""
+    inbox, out, read = str(tmp_path / "inbox"), str(tmp_path / "out"), []
+
+    def noted(*args):
+        stored = chosen(*args)
+        read.append((0, 0) if stored is None else (len(stored.select("batch_id").distinct().collect()), stored.count()))
+        return stored
+
+    chosen = stateful.seen_slices
+    monkeypatch.setattr(stateful, "seen_slices", noted)
+    rows = spark.range(2400).selectExpr(
+        "id", "timestamp_seconds(1774396800 + (id div 200) * 7 + (id % 200) * 400) event_time", f"'{BTC}' symbol", "1d price", "1d volume")
+    for n in range(10):
+        rows.where(f"id div 200 = {n}").coalesce(1).write.mode("append").parquet(inbox)
+    stateful.dedup_batches(_stream(spark, inbox), out, str(tmp_path / "cp"), **NOW).awaitTermination()
+    assert read == [(0, 0)] * 9
+    for more in ("id div 200 = 10", "id div 200 = 11 or id between 400 and 402"):
+        rows.where(more).coalesce(1).write.mode("append").parquet(inbox)
+        stateful.dedup_batches(_stream(spark, inbox), out, str(tmp_path / "cp"), **NOW).awaitTermination()
+    # Three copies, in the first hour of batch 2: nine rows are used of the 2,200 that are stored for the day, of one slice.
+    assert read[9:] == [(0, 0), (1, 9)]
+    assert _ids(stateful.read_deduplicated(spark, out, trades)) == list(range(2400))
+
+
+def test_deduplication_counts_nulls_as_keys_and_refuses_other_keys(spark, trades, tmp_path):
+    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
+    odd = spark.createDataFrame([(1, None, "A", 1.0, None), (2, None, "A", 1.0, None), (3, None, None, 1.0, None)],
+                                "id bigint, event_time timestamp, symbol string, price double, volume double")
+    for _ in range(2):
+        odd.coalesce(1).write.mode("append").parquet(inbox)
+        stateful.dedup_batches(_stream(spark, inbox), out, str(tmp_path / "cp"), **NOW).awaitTermination()
+    assert stateful.read_deduplicated(spark, out, trades).select("symbol").distinct().count() == 2
+    assert stateful.read_deduplicated(spark, out, trades).count() == 2
+    with pytest.raises(ValueError):
+        stateful.dedup_batches(_stream(spark, inbox), out, str(tmp_path / "cp2"), ["id"])
+
+
+def test_key_filter_never_misses():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(-2**63, 2**63, 20_000)
+    bits = keyfilter.made(hashes)
+    assert keyfilter.may_hold(bits, hashes).all()
+    assert keyfilter.may_hold(bits, rng.integers(-2**63, 2**63, 100_000)).mean() < 1e-3
+    assert not keyfilter.may_hold(keyfilter.made(hashes[:0]), hashes).any()
+
+
 def test_late_originals_are_kept(spark, trades, tmp_path):
     inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
     for part in ("id >= 300", "id < 300", "id % 7 = 0"):

@@ -26,16 +26,17 @@ from tickloom.sources.tables import delete_folder
 FANOUT = 2
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
+def found(spark: SparkSession, pattern: str) -> list[str]:
+    """The files and folders that a pattern names."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
-    return [f.getPath().toString() for f in found or []]
+    listed = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    return [f.getPath().toString() for f in listed or []]
 
 
 def manifests(spark: SparkSession, path: str) -> list[int]:
     """The numbers of all finished manifests, ascending."""
-    found = _glob(spark, f"{path}/manifest/upto=*/_SUCCESS")
-    return sorted(int(f.split("/")[-2].removeprefix("upto=")) for f in found)
+    done = found(spark, f"{path}/manifest/upto=*/_SUCCESS")
+    return sorted(int(f.split("/")[-2].removeprefix("upto=")) for f in done)
 
 
 def newest(spark: SparkSession, path: str) -> int | None:
@@ -123,18 +124,18 @@ def add(fresh: DataFrame, path: str, upto: int, days: Sequence[str] = (), combin
 
 def clean(spark: SparkSession, path: str, days: Sequence[str] = ()) -> None:
     """Delete what neither of the two newest manifests names: runs, left-overs of a failed step, older manifests."""
-    found = manifests(spark, path)
-    used = {_folder("", run, days) for upto in found[-2:] for run in runs(spark, path, upto, days)}
+    known = manifests(spark, path)
+    used = {_folder("", run, days) for upto in known[-2:] for run in runs(spark, path, upto, days)}
     # A step's folder goes as a whole, or day by day where some of its days are still in use.
-    for folder in _glob(spark, f"{path}/step=*"):
+    for folder in found(spark, f"{path}/step=*"):
         name = "/" + folder.rsplit("/", 1)[-1]
-        if int(name.removeprefix("/step=")) > (found[-1] if found else -1):
+        if int(name.removeprefix("/step=")) > (known[-1] if known else -1):
             continue
         if not any(u == name or u.startswith(name + "/") for u in used):
             delete_folder(spark, folder)
         elif days:
-            for day in _glob(spark, "/".join([folder, *(f"{d}=*" for d in days)])):
+            for day in found(spark, "/".join([folder, *(f"{d}=*" for d in days)])):
                 if "/" + "/".join(day.split("/")[-len(days) - 1:]) not in used:
                     delete_folder(spark, day)
-    for upto in found[:-2]:
+    for upto in known[:-2]:
         delete_folder(spark, f"{path}/manifest/upto={upto}")

@@ -9,9 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, StructField, StructType
 
+from tickloom.operators import keyfilter
 from tickloom.operators.throttle import passed, throttle
+from tickloom.sources.tables import delete_folder
+from tickloom.streaming import levels
 from tickloom.streaming.slices import write_slice
 
 FULL_KEY = ("event_time", "symbol", "price", "volume")
@@ -38,35 +41,89 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def dedup_batches(trades: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = FULL_KEY, **trigger) -> StreamingQuery:
-    """One row per key at any lateness, written to ``path`` by event day and batch.
+DEDUP_DIRS = ("day", "batch_id")
 
-    A batch drops its own copies and then those whose key is stored already; only the days that occur
-    in the batch are read. An original that comes late is kept. A replayed batch looks at earlier
-    batches only and replaces its own files.
+
+def _hashed(rows: DataFrame, keys: Sequence[str], bucket_seconds: int) -> DataFrame:
+    """With the day and the time bucket that a row is stored under, and a hash of its keys in which nulls count too."""
+    parts = [F.coalesce(F.hex(F.col(k).cast("string").cast("binary")), F.lit("-")) for k in keys]
+    day, second = F.to_date("event_time"), F.unix_seconds("event_time")
+    # A day and bucket of their own for rows without a time, which no folder name can carry.
+    return rows.withColumns({
+        "day": F.coalesce(day, F.lit("1970-01-01").cast("date")),
+        "bucket": F.coalesce((F.pmod(second, F.lit(86400)) / bucket_seconds).cast("int"), F.lit(-1)),
+        "_hash": F.xxhash64(F.concat_ws("|", *parts)),
+    })
+
+
+def dedup_batches(trades: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = FULL_KEY, bucket_seconds: int = 3600, **trigger) -> StreamingQuery:
+    """One row per key at any lateness, written to ``path`` by event day and batch. ``event_time`` is a key.
+
+    A batch drops its own copies and then those whose key is stored already. For each time bucket of a slice a Bloom
+    filter of its keys is kept; a batch reads the filters of its own buckets, and then only the slices, and of these the
+    buckets, that may hold one of its keys, which are none where no copies come. Rows of a slice are sorted by bucket, so
+    the others are skipped by the files' statistics. An original that comes late is kept. A replayed batch looks at
+    earlier batches only and replaces its own files.
     """
     keys = list(keys)
-    day = F.to_date("event_time")
+    if "event_time" not in keys:
+        raise ValueError("event_time must be among the keys: copies are looked for in their own time bucket only")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(keys).withColumns({"day": day, "batch_id": F.lit(batch_id)})
-        if batch_id:
-            days = [r[0] for r in batch.select(day).distinct().collect()]  # as many as the calendar has
-            stored = spark.read.schema(rows.schema).parquet(path)
-            stored = stored.where((F.col("batch_id") < batch_id) & F.col("day").isin(days))
-            same = [rows[k].eqNullSafe(stored[k]) for k in keys]
-            rows = rows.join(stored.select("day", *keys), [rows["day"] == stored["day"], *same], "left_anti")
-        out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        out.partitionBy("day", "batch_id").parquet(path)
+        rows = _hashed(batch.dropDuplicates(keys), keys, bucket_seconds).persist()
+        try:
+            rows_kept = rows
+            if batch_id:
+                stored = seen_slices(spark, path, rows, batch_id)
+                if stored is not None:
+                    same = [rows[k].eqNullSafe(stored[k]) for k in ("day", "bucket", "_hash", *keys)]
+                    rows_kept = rows.join(stored.select("day", "bucket", "_hash", *keys), same, "left_anti")
+            out = rows_kept.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "day").sortWithinPartitions("day", "bucket")
+            _replace_slices(spark, f"{path}/rows", batch_id)
+            out.write.mode("append").partitionBy(*DEDUP_DIRS).parquet(f"{path}/rows")
+            written = spark.read.schema(_stored(rows.schema)).parquet(f"{path}/rows").where(F.col("batch_id") == batch_id)
+            filters = keyfilter.filters(written, ["day", "bucket"], "_hash").withColumn("batch_id", F.lit(batch_id))
+            _replace_slices(spark, f"{path}/filters", batch_id)
+            filters.write.mode("append").partitionBy(*DEDUP_DIRS).parquet(f"{path}/filters")
+        finally:
+            rows.unpersist()
 
     writer = trades.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def _stored(fields: StructType) -> StructType:
+    return StructType([*(f for f in fields if f.name != "batch_id"), StructField("batch_id", IntegerType())])
+
+
+def _replace_slices(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Delete what an earlier try of the batch has left."""
+    for folder in levels.found(spark, f"{path}/day=*/batch_id={batch_id}"):
+        delete_folder(spark, folder)
+
+
+def seen_slices(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> DataFrame | None:
+    """The stored rows of the slices before ``batch_id`` that may hold a key of ``rows``; None if there are none."""
+    days = [str(r["day"]) for r in rows.select("day").distinct().collect()]  # as many as the calendar has
+    there = {f.rsplit("/", 1)[-1].removeprefix("day=") for f in levels.found(spark, f"{path}/filters/day=*")}
+    folders = [f"{path}/filters/day={d}" for d in days if d in there]
+    if not folders:
+        return None
+    fields = StructType([StructField("bucket", IntegerType()), *keyfilter.FIELDS.fields, StructField("day", DateType()), StructField("batch_id", IntegerType())])
+    kept = spark.read.schema(fields).option("basePath", f"{path}/filters").parquet(*folders).where(F.col("batch_id") < batch_id)
+    hit = keyfilter.hits(rows, kept, ["day", "bucket"], "_hash", ["batch_id"]).distinct()
+    found = hit.groupBy("day", "batch_id").agg(F.collect_set("bucket").alias("buckets")).collect()  # slices, not rows
+    if not found:
+        return None
+    slices = [f"{path}/rows/day={r['day']}/batch_id={r['batch_id']}" for r in found]
+    stored = spark.read.schema(_stored(rows.schema)).option("basePath", f"{path}/rows").parquet(*slices)
+    return stored.where(F.col("bucket").isin(sorted({b for r in found for b in r["buckets"]})))
+
+
 def read_deduplicated(spark: SparkSession, path: str, trades: DataFrame) -> DataFrame:
     """What ``dedup_batches`` has kept, in the columns of ``trades``."""
-    return spark.read.schema(trades.schema).parquet(path).select(*trades.columns)
+    return spark.read.schema(trades.schema).parquet(f"{path}/rows").select(*trades.columns)
 
 
 class _Throttle(StatefulProcessor):
