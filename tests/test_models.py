@@ -28,13 +28,67 @@ def test_minute_prices_and_gaps(make_trades):
     ]
 
 
-def test_known_coefficients_are_found():
+def fit_series(values, p, d):
+    """Least squares on the lags, in one piece: (intercept, coefficients, variance, sum of squares)."""
+    x = np.diff(values, n=d)
+    rows = len(x) - p
+    lags = np.column_stack([np.ones(rows)] + [x[p - i - 1:len(x) - i - 1] for i in range(p)])
+    beta, *_ = np.linalg.lstsq(lags, x[p:], rcond=None)
+    residual = x[p:] - lags @ beta
+    return float(beta[0]), beta[1:], float(residual @ residual / (rows - p - 1)), float(residual @ residual)
+
+
+def _grid_of(spark, series_by_symbol):
+    rows = [(s, dt.datetime(2026, 3, 20) + dt.timedelta(minutes=i), float(v)) for s, values in series_by_symbol.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "symbol string, minute timestamp, price double")
+
+
+def test_fit_equals_least_squares_and_order_is_chosen(spark):
+    rng, made = np.random.default_rng(8), {}
+    for name, lags in (("none", []), ("one", [0.6]), ("two", [0.5, -0.4])):
+        x = np.zeros(1500)
+        for i in range(2, len(x)):
+            x[i] = 0.1 + sum(b * x[i - 1 - k] for k, b in enumerate(lags)) + rng.normal(0, 1)
+        made[name] = 100 + np.cumsum(x)
+    grid = _grid_of(spark, made | {"flat": [5.0] * 30, "short": [1.0, 2.0, 4.0]})
+    for p in (0, 1, 3):
+        for r in series.forecast_fit(grid, p=p).collect():
+            if r["symbol"] in made:
+                c, beta, sigma2, _ = fit_series(made[r["symbol"]], p, 1)
+                assert (r["intercept"], r["sigma2"]) == pytest.approx((c, sigma2), rel=1e-8)
+                assert r["coefficients"] == pytest.approx(beta.tolist(), rel=1e-8) and len(r["tail"]) == p + 1
+            elif r["symbol"] == "flat":
+                assert (r["intercept"], r["sigma2"], set(r["coefficients"])) == (0.0, 0.0, {0.0} if p else set())
+            else:
+                assert r["intercept"] == pytest.approx(1.5) and r["observations"] == 3
+    chosen = {r["symbol"]: r["p"] for r in series.forecast_fit(grid, select=True).collect()}
+    assert chosen["one"] >= 1 and chosen["two"] >= 2 and chosen["none"] <= 1
+    table = {(r["symbol"], r["p"]): r["aic"] for r in series.order_table(grid).collect()}
+    for p in range(4):  # all orders on the minutes that have three lags
+        sse = fit_series(made["two"][3 - p:], p, 1)[3]
+        assert table["two", p] == pytest.approx(1496 * np.log(sse / 1496) + 2 * (p + 1))
+
+
+def test_seasons_are_found_and_put_back(spark):
+    day = [10 + 3 * (h in (9, 10)) - 2 * (h == 20) for h in range(24)]
+    values = [day[(i // 60) % 24] for i in range(3 * 1440)]
+    grid = _grid_of(spark, {"A": values})
+    effects = {r["phase"]: r["effect"] for r in series.seasonal_profile(grid).collect()}
+    mean = sum(day) / 24
+    assert effects == pytest.approx({h: day[h] - mean for h in range(24)})
+    ahead = series.forecast_decomposed(grid.where("minute < timestamp '2026-03-22 08:50:00'"), steps=30).collect()
+    values = {r["forecast_timestamp"].minute: r["forecast_value"] for r in ahead}
+    assert values[55] == pytest.approx(10, abs=0.1) and values[10] == pytest.approx(13, abs=0.1)
+
+
+def test_known_coefficients_are_found(spark):
     rng = np.random.default_rng(1)
     x = np.zeros(20000)
     noise = rng.normal(0, 0.5, len(x))
     for i in range(2, len(x)):
         x[i] = 0.3 + 0.5 * x[i - 1] - 0.2 * x[i - 2] + noise[i]
-    intercept, beta, sigma2 = series.fit_series(np.cumsum(x), p=2, d=1)
+    row = series.forecast_fit(_grid_of(spark, {"A": np.cumsum(x)}), p=2).first()
+    intercept, beta, sigma2 = row["intercept"], row["coefficients"], row["sigma2"]
     assert intercept == pytest.approx(0.3, abs=0.03)
     assert beta == pytest.approx([0.5, -0.2], abs=0.03)
     assert sigma2 == pytest.approx(0.25, abs=0.02)
@@ -47,7 +101,7 @@ def test_interval_covers_about_as_often_as_it_says(spark):
     for _ in range(300):
         walk = np.cumsum(rng.normal(0, 1, 430))
         known, future = walk[:400], walk[400:]
-        intercept, beta, sigma2 = series.fit_series(known, 1, 1)
+        intercept, beta, sigma2, _ = fit_series(known, 1, 1)
         mean, error = series.extend_series(known[-2:], intercept, beta, sigma2, 1, 30)
         hits += np.sum(np.abs(future - mean) <= 1.6448536 * error)
         total += 30

@@ -43,4 +43,23 @@ def test_no_single_task_sort_of_the_rows(hot):
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.98])
 def test_quantile(hot, q):
     values = np.array([r["t"] for r in hot.collect()], float)
-    assert exact_quantile(hot, "t", q, "id", 9).first()[0] == pytest.approx(np.quantile(values, q))
+    for few in (1, 50, 100_000):
+        assert exact_quantile(hot, "t", q, few).first()[0] == pytest.approx(np.quantile(values, q))
+
+
+@pytest.mark.parametrize("few", [1, 20])
+def test_quantile_of_many_values_narrows_and_of_nothing(spark, monkeypatch, few):
+    monkeypatch.setattr("tickloom.operators.numbering._SKETCH", 50)
+    rows = spark.range(7000).selectExpr("if(id % 100 = 3, null, pow(hash(id) % 10007, 3)) x")
+    values = np.array([r["x"] for r in rows.collect() if r["x"] is not None])
+    for q in (0.0, 0.013, 0.5, 0.98, 1.0):
+        assert exact_quantile(rows, "x", q, few).first()[0] == pytest.approx(np.quantile(values, q), rel=1e-12)
+    assert exact_quantile(rows.where("x is null"), "x", 0.5).count() == 0
+
+
+def test_quantile_between_two_values_that_most_rows_have(spark, monkeypatch):
+    monkeypatch.setattr("tickloom.operators.numbering._SKETCH", 10)
+    rows = spark.range(3000).selectExpr("double(case when id < 1400 then 1 when id < 1600 then 2 + id / 1000.0 else 9 end) x")
+    values = np.array([r["x"] for r in rows.collect()])
+    for rank in (0, 1399, 1399.5, 1400, 1477.25, 1599, 1599.5, 1600, 2999):
+        assert exact_quantile(rows, "x", rank / 2999, 5).first()[0] == pytest.approx(np.quantile(values, rank / 2999))

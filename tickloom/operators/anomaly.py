@@ -50,10 +50,10 @@ def with_distance(model: PipelineModel, trades: DataFrame) -> DataFrame:
     return scored.withColumn("distance", distance).drop("_index", "_symbol", "_raw", "_features")
 
 
-def anomaly_threshold(model: PipelineModel, training: DataFrame, contamination: float = 0.02, ident: str = "id") -> float:
+def anomaly_threshold(model: PipelineModel, training: DataFrame, contamination: float = 0.02) -> float:
     """Exact (1 - contamination) quantile of the training distances."""
     scored = with_distance(model, training)
-    return exact_quantile(scored, "distance", 1 - contamination, ident).first()["quantile"]
+    return exact_quantile(scored, "distance", 1 - contamination).first()["quantile"]
 
 
 def anomalies(model: PipelineModel, trades: DataFrame, threshold: float) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.schema import local_table
 from tickloom.sources import tables
 
 # monotonically_increasing_id keeps the partition above this bit and the row's place below it.
@@ -63,16 +64,55 @@ def number_rows(
     return numbered.withColumn(name, F.col("_start") + F.col("_place") + 1).drop("_part", "_place", "_start")
 
 
-def exact_quantile(rows: DataFrame, value: str, q: float, tie: str, partitions: int | None = None) -> DataFrame:
-    """One row ``quantile``: the interpolated q-quantile of ``value`` over all rows.
+def exact_quantile(rows: DataFrame, value: str, q: float, few: int = 100_000) -> DataFrame:
+    """One row ``quantile``: the interpolated q-quantile of ``value`` over all rows that have one.
 
-    Ranks come from ``number_rows``, so no task gathers the distinct values; ``tie`` is a unique
-    column that lets one much-repeated value spread over partitions.
+    A sketch gives two values that very likely enclose the wanted ranks; a second pass counts exactly what lies below and
+    between them. The bracket is narrowed in the same way until at most ``few`` rows are in it, or one value; only these
+    are sorted. A bracket that misses the ranks is widened on that side to where the last one ended. Nothing
+    is shuffled but sketches and counts.
     """
-    v = rows.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_v"), F.col(tie).alias("_tie"))
-    ranked = number_rows(v, ["_v", "_tie"], "_rank", partitions)
-    pos = (ranked.count() - 1) * q
-    low, high = math.floor(pos) + 1, math.ceil(pos) + 1
-    near = ranked.where(F.col("_rank").isin(low, high))
-    first, last = F.min("_v"), F.max("_v")
-    return near.agg((first + (last - first) * F.lit(pos - math.floor(pos))).alias("quantile"))
+    spark = rows.sparkSession
+    v = rows.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    ends = v.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    if not ends["n"]:
+        return spark.createDataFrame([], "quantile double")
+    pos = (ends["n"] - 1) * q
+    first, last = math.floor(pos), math.ceil(pos)  # the wanted ranks, from 0
+
+    def answer(a: float, b: float) -> DataFrame:
+        return local_table(spark, [(a + (b - a) * (pos - first),)], "quantile double")
+
+    # The wanted ranks lie in low..high, which hold ``inside`` rows and have ``below`` rows before them.
+    low, high, below, inside = ends["low"], ends["high"], 0, ends["n"]
+    while inside > few and low != high:
+        bracket = v.where((F.col("v") >= low) & (F.col("v") <= high))
+        slack = 4 / _SKETCH
+        wanted = [min(max(p, 0.0), 1.0) for p in ((first - below) / inside - slack, (last - below) / inside + slack)]
+        lo, hi = bracket.agg(F.percentile_approx("v", wanted, _SKETCH).alias("p")).first()["p"]
+        counts = bracket.agg(F.count_if(F.col("v") < lo).alias("before"), F.count_if(F.col("v") <= hi).alias("upto")).first()
+        before, upto = below + counts["before"], below + counts["upto"]
+        if first < before:  # the sketch erred by more than it promises
+            lo, before = low, below
+        if last >= upto:
+            hi, upto = high, below + inside
+        if (lo, hi) != (low, high):
+            low, high, below, inside = lo, hi, before, upto - before
+            continue
+        # Both ends are values that very many rows have: look between them.
+        x, mid = F.col("v"), (F.col("v") > low) & (F.col("v") < high)
+        r = bracket.agg(F.count_if(x == low).alias("lows"), F.count_if(mid).alias("n"), F.min(F.when(mid, x)).alias("least"), F.max(F.when(mid, x)).alias("most")).first()
+        starts = below + r["lows"], below + r["lows"] + r["n"]  # of the values between, and of ``high``
+        if starts[0] <= first and last < starts[1]:
+            low, high, below, inside = r["least"], r["most"], starts[0], r["n"]
+            continue
+        pick = (lambda rank, other: low if rank < starts[0] else high if rank >= starts[1] else other)
+        return answer(pick(first, r["most"]), pick(last, r["least"]))
+    if low == high:
+        return answer(low, high)
+    near = v.where((F.col("v") >= low) & (F.col("v") <= high)).sort("v").collect()  # ``few`` rows at most
+    return answer(near[first - below]["v"], near[last - below]["v"])
+
+
+# What the sketch of a bracket promises: ranks within one part in so many.
+_SKETCH = 10_000

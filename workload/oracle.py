@@ -292,8 +292,44 @@ model AS (
   FROM line l JOIN (SELECT symbol, COUNT(*) AS n, MAX(minute) AS last_minute, arg_max(price, minute) AS price, arg_max(x, minute) AS x
                     FROM changes GROUP BY symbol) g ON l.symbol = g.symbol)"""
 
+AR3 = f"""{GRID}, diffs AS (
+  SELECT symbol, minute, price, price - lag(price) OVER (PARTITION BY symbol ORDER BY minute) AS x FROM grid),
+lags AS (
+  SELECT *, lag(x, 1) OVER w AS x1, lag(x, 2) OVER w AS x2, lag(x, 3) OVER w AS x3 FROM diffs WINDOW w AS (PARTITION BY symbol ORDER BY minute)),
+m AS (
+  SELECT symbol, COUNT(*) AS n, AVG(x) AS a0, AVG(x1) AS a1, AVG(x2) AS a2, AVG(x3) AS a3, var_pop(x) * COUNT(*) AS c00,
+    covar_pop(x, x1) * COUNT(*) AS c01, covar_pop(x, x2) * COUNT(*) AS c02, covar_pop(x, x3) * COUNT(*) AS c03,
+    var_pop(x1) * COUNT(*) AS c11, var_pop(x2) * COUNT(*) AS c22, var_pop(x3) * COUNT(*) AS c33,
+    covar_pop(x1, x2) * COUNT(*) AS c12, covar_pop(x1, x3) * COUNT(*) AS c13, covar_pop(x2, x3) * COUNT(*) AS c23
+  FROM lags WHERE x3 IS NOT NULL GROUP BY symbol),
+dets AS (
+  SELECT *, c11 * c22 - c12 * c12 AS d2, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13) + c13 * (c12 * c23 - c22 * c13) AS d3 FROM m),
+fits AS (
+  SELECT symbol, n, 0 AS p, a0 AS c, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3, c00 AS sse FROM dets
+  UNION ALL SELECT symbol, n, 1, a0 - c01 / c11 * a1, c01 / c11, 0, 0, c00 - c01 / c11 * c01 FROM dets
+  UNION ALL SELECT symbol, n, 2, a0 - b1 * a1 - b2 * a2, b1, b2, 0, c00 - b1 * c01 - b2 * c02
+    FROM (SELECT *, (c01 * c22 - c02 * c12) / d2 AS b1, (c11 * c02 - c12 * c01) / d2 AS b2 FROM dets)
+  UNION ALL SELECT symbol, n, 3, a0 - b1 * a1 - b2 * a2 - b3 * a3, b1, b2, b3, c00 - b1 * c01 - b2 * c02 - b3 * c03
+    FROM (SELECT *,
+      (c01 * (c22 * c33 - c23 * c23) - c12 * (c02 * c33 - c23 * c03) + c13 * (c02 * c23 - c22 * c03)) / d3 AS b1,
+      (c11 * (c02 * c33 - c23 * c03) - c01 * (c12 * c33 - c23 * c13) + c13 * (c12 * c03 - c02 * c13)) / d3 AS b2,
+      (c11 * (c22 * c03 - c02 * c23) - c12 * (c12 * c03 - c02 * c13) + c01 * (c12 * c23 - c22 * c13)) / d3 AS b3 FROM dets)),
+orders AS (SELECT *, sse / (n - p - 1) AS sigma2, n * ln(sse / n) + 2 * (p + 1) AS aic FROM fits)"""
+
 
 def _models() -> dict[str, str]:
+    ahead3 = AR3 + """, model AS (
+      SELECT f.symbol, c, b1, b2, b3, sigma2, l.* EXCLUDE (symbol) FROM orders f JOIN (
+        SELECT symbol, MAX(minute) AS last_minute, arg_max(price, minute) AS price, arg_max(x, minute) AS y1, arg_max(x1, minute) AS y2, arg_max(x2, minute) AS y3
+        FROM lags GROUP BY symbol) l ON l.symbol = f.symbol WHERE p = 3),
+    ahead AS (
+      SELECT symbol, 1 AS step, c + b1 * y1 + b2 * y2 + b3 * y3 AS x, y1 AS x1, y2 AS x2, price + c + b1 * y1 + b2 * y2 + b3 * y3 AS level,
+        1.0::DOUBLE AS psi, 0.0::DOUBLE AS psi1, 0.0::DOUBLE AS psi2, 1.0::DOUBLE AS cum, 1.0::DOUBLE AS total FROM model
+      UNION ALL
+      SELECT a.symbol, a.step + 1, m.c + m.b1 * a.x + m.b2 * a.x1 + m.b3 * a.x2, a.x, a.x1, a.level + m.c + m.b1 * a.x + m.b2 * a.x1 + m.b3 * a.x2,
+        m.b1 * a.psi + m.b2 * a.psi1 + m.b3 * a.psi2, a.psi, a.psi1, a.cum + m.b1 * a.psi + m.b2 * a.psi1 + m.b3 * a.psi2,
+        a.total + (a.cum + m.b1 * a.psi + m.b2 * a.psi1 + m.b3 * a.psi2) * (a.cum + m.b1 * a.psi + m.b2 * a.psi1 + m.b3 * a.psi2)
+      FROM ahead a JOIN model m ON a.symbol = m.symbol WHERE a.step < 30)"""
     ahead = AR1 + """, ahead AS (
       SELECT symbol, 1 AS step, c + phi * x AS x, price + c + phi * x AS level, CAST(1.0 AS DOUBLE) AS power, CAST(1.0 AS DOUBLE) AS psi, CAST(1.0 AS DOUBLE) AS total FROM model
       UNION ALL
@@ -315,6 +351,14 @@ def _models() -> dict[str, str]:
         "forecast": recursive(ahead, f"""SELECT a.symbol, a.step, m.last_minute + a.step * INTERVAL 1 MINUTE AS forecast_timestamp,
             {rnd('a.level', 3)} AS forecast_value, {rnd(f'a.level - {z} * sqrt(m.sigma2 * a.total)', 3)} AS lower_bound,
             {rnd(f'a.level + {z} * sqrt(m.sigma2 * a.total)', 3)} AS upper_bound FROM ahead a JOIN model m ON a.symbol = m.symbol"""),
+        "forecast_ar3": recursive(ahead3, f"""SELECT a.symbol, a.step, m.last_minute + a.step * INTERVAL 1 MINUTE AS forecast_timestamp,
+            {rnd('a.level', 3)} AS forecast_value, {rnd(f'a.level - {z} * sqrt(m.sigma2 * a.total)', 3)} AS lower_bound,
+            {rnd(f'a.level + {z} * sqrt(m.sigma2 * a.total)', 3)} AS upper_bound FROM ahead a JOIN model m ON a.symbol = m.symbol"""),
+        "forecast_orders": with_(AR3, f"""SELECT symbol, p, {rnd('sigma2', 4)} AS sigma2, {rnd('aic', 3)} AS aic,
+            row_number() OVER (PARTITION BY symbol ORDER BY aic, p) = 1 AS chosen FROM orders"""),
+        "seasonal_profile": with_(GRID, f"""SELECT g.symbol, CAST(hour(g.minute) AS INTEGER) AS phase, {rnd('AVG(g.price - d.mean)', 6)} AS effect, COUNT(*) AS minutes
+            FROM grid g JOIN (SELECT symbol, CAST(minute AS DATE) AS day, AVG(price) AS mean FROM grid GROUP BY 1, 2) d
+              ON d.symbol = g.symbol AND d.day = CAST(g.minute AS DATE) GROUP BY 1, 2"""),
         "anomaly_zscore": with_(SILVER, f"""SELECT id, s.symbol, {rnd('greatest(abs((price - mp) / sp), abs((volume - mv) / sv))', 6)} AS score
             FROM silver s JOIN (SELECT symbol, AVG(price) AS mp, stddev_samp(price) AS sp, AVG(volume) AS mv, stddev_samp(volume) AS sv
                                 FROM silver GROUP BY symbol) q ON s.symbol = q.symbol

@@ -592,7 +592,27 @@ def forecast(spark, sf):
 
 
 def forecast_ar3(spark, sf):
-    return series.forecast(series.forecast_fit(_grid(spark, sf), p=3, d=1))
+    out = series.forecast(series.forecast_fit(_grid(spark, sf), p=3, d=1))
+    digits = {c: round_half_up(F.col(c), 3) for c in ("forecast_value", "lower_bound", "upper_bound")}
+    return out.withColumns(digits).drop("standard_error", "confidence_level")
+
+
+def forecast_orders(spark, sf):
+    """The orders 0 to 3 of every symbol, and which of them AIC chooses."""
+    grid = _grid(spark, sf)
+    chosen = series.forecast_fit(grid, select=True).select("symbol", F.col("p").alias("chosen"))
+    table = series.order_table(grid).join(chosen, "symbol")
+    return table.select("symbol", "p", round_half_up(F.col("sigma2"), 4).alias("sigma2"), round_half_up(F.col("aic"), 3).alias("aic"),
+                        (F.col("p") == F.col("chosen")).alias("chosen"))
+
+
+def seasonal_profile(spark, sf):
+    out = series.seasonal_profile(_grid(spark, sf))
+    return out.withColumn("effect", round_half_up(F.col("effect"), 6))
+
+
+def forecast_decomposed(spark, sf):
+    return series.forecast_decomposed(_grid(spark, sf))
 
 
 def anomaly_fit(spark, sf):
@@ -614,7 +634,7 @@ def anomaly_zscore(spark, sf):
 
 def value_quantile(spark, sf):
     rows = fx.line_trades(spark, sf).withColumn("value", F.col("price") * F.col("volume"))
-    return numbering.exact_quantile(rows, "value", 0.98, "id")
+    return numbering.exact_quantile(rows, "value", 0.98)
 
 
 def _markers(rows):
