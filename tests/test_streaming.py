@@ -11,7 +11,7 @@ from tickloom.operators.scoring import count_from_ledger, gate
 from tickloom.plans import marts
 from tickloom.sources import spans, tables
 from tickloom.sources.streams import read_file_stream
-from tickloom.streaming import ingest, levels, rollup, slices, stateful
+from tickloom.streaming import dimension, ingest, levels, retry, rollup, slices, stateful
 
 BTC, ETH, BNB, SOL = schema.DEFAULT_SYMBOLS
 AS_OF = "2026-03-27 00:00:00"
@@ -447,3 +447,47 @@ def test_messages_survive_the_ledger_of_a_bad_batch(spark, tmp_path):
     assert slices.read_slices(spark, f"{root}/rejects", REJECTS_DDL).count() == 5
     ledger = {r["sink"]: r["rows"] for r in ingest.read_ledger(spark, root).collect()}
     assert ledger == {"silver": 0, "rejects": 5, "lake": 0}
+
+
+def test_a_version_binds_from_its_time_and_late_ones_are_caught_up_with(spark, trades, inbox, tmp_path):
+    path, versions = str(tmp_path / "bound"), str(tmp_path / "versions")
+    made = lambda rows: spark.createDataFrame(rows, "symbol string, t string, symbol_key int, asset_name string").selectExpr(
+        "symbol", "cast(t as timestamp) valid_from", "symbol_key", "asset_name")
+    made([(BTC, "2026-03-25 06:00:00", 1, "Bitcoin"), (ETH, "2020-01-01", 2, "Ether")]).write.parquet(versions)
+    dimension.bind_stream(_stream(spark, inbox), versions, path, str(tmp_path / "cp"), **NOW).awaitTermination()
+    fields = dimension.bound_fields(trades.schema)
+    bound = spark.read.schema(fields).parquet(path)
+    early = "event_time < timestamp '2026-03-25 06:00:00'"
+    assert bound.where(f"symbol = '{BTC}' and {early} and asset_name is not null").count() == 0
+    assert bound.where(f"symbol = '{BTC}' and not ({early}) and asset_name = 'Bitcoin'").count() == trades.where(f"symbol = '{BTC}' and not ({early})").count()
+    assert bound.where("symbol like '%DOGE%' and symbol_key is null").count() == trades.where("symbol like '%DOGE%'").count() and bound.count() == 600
+    late = made([(ETH, "2026-03-26 05:00:00", 2, "Ether 2")])
+    late.write.mode("append").parquet(versions)
+    found = dimension.rebind(spark, path, trades.schema, spark.read.schema(dimension.VERSIONS_DDL).parquet(versions), late)
+    assert found == [2, 3]
+    names = {(r["asset_name"], r["new"]) for r in spark.read.schema(fields).parquet(path).where(f"symbol = '{ETH}'").selectExpr(
+        "asset_name", "event_time >= timestamp '2026-03-26 05:00:00' as new").distinct().collect()}
+    assert names == {("Ether", False), ("Ether 2", True)} and spark.read.schema(fields).parquet(path).count() == 600
+
+
+def test_refused_messages_come_again_and_are_given_up(spark, trades, tmp_path):
+    """Every attempt of a message is one row; a message is sent when it is due, and not again."""
+    inbox, path, cp = str(tmp_path / "inbox"), str(tmp_path / "out"), str(tmp_path / "cp")
+    send = lambda rows: rows.withColumn("error", F.when((F.col("id") % 4 >= F.col("attempt")) | (F.col("id") % 10 == 0), "no"))
+    for n in range(6):
+        trades.where(F.col("id").between(n * 100, n * 100 + 99)).coalesce(1).write.mode("append").parquet(inbox)
+    retry.forward_stream(_stream(spark, inbox), send, path, cp, **NOW).awaitTermination()
+    stored = retry._stored(spark, path, trades.schema)
+    first = {r["batch_id"]: r["n"] for r in stored.where("id < 100").groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+    # Attempts 1, 2 and 3 in batches 0, 2 and 6: the third is not due yet.
+    assert first == {0: 100, 2: 100 - len([i for i in range(100) if i % 4 == 0 and i % 10])}
+    assert retry.outcomes(spark, path, trades.schema).where("status = 'waiting'").count() > 0
+    assert retry.drain(spark, send, path, trades.schema) == 2 and retry.drain(spark, send, path, trades.schema) == 0
+    got = {r["id"]: (r["status"], r["attempt"]) for r in retry.outcomes(spark, path, trades.schema).collect()}
+    want = {i: ("dead", 3) if i % 10 == 0 or i % 4 == 3 else ("delivered", i % 4 + 1) for i in range(600)}
+    assert got == want
+    assert retry._stored(spark, path, trades.schema).groupBy("id", "attempt").count().where("count > 1").count() == 0
+    # The stream goes on; what was drained is not sent again.
+    trades.where("id < 5").withColumn("id", F.col("id") + 1000).coalesce(1).write.mode("append").parquet(inbox)
+    retry.forward_stream(_stream(spark, inbox), send, path, cp, **NOW).awaitTermination()
+    assert retry._stored(spark, path, trades.schema).groupBy("id", "attempt").count().where("count > 1").count() == 0

@@ -248,6 +248,13 @@ def _streams() -> dict[str, str]:
             COUNT(*) - CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END >= 1000 AS should_train FROM msg WHERE {good}"""),
         "rt_ingested": with_(MESSAGES, f"SELECT {named}, COUNT(*) AS trade_count FROM msg WHERE {good} GROUP BY 1"),
         "compact": with_(MESSAGES, f"SELECT id, date_trunc('second', event_time) AS event_time, symbol, price, volume, {named}{days} FROM msg WHERE {good}"),
+        "bound_dimension": with_(SILVER, f"""SELECT symbol, CAST(symbol_key AS INTEGER) AS symbol_key,
+            CASE WHEN name = 'Click' AND event_time >= TIMESTAMP '2024-01-16' THEN 'Tap' ELSE name END AS asset_name,
+            COUNT(*) AS n, MIN(event_time) AS first_time, MAX(event_time) AS last_time
+            FROM silver JOIN (VALUES {VALUES}) d(symbol_key, symbol, code, base, quote, name, kind, tier) USING (symbol) GROUP BY 1, 2, 3"""),
+        "forward_retried": with_(MESSAGES, """SELECT id, value, CASE WHEN id % 11 = 0 THEN 'dead' ELSE 'delivered' END AS status,
+            CAST(CASE WHEN id % 11 = 0 OR id % 5 = 4 THEN 3 WHEN id % 5 = 3 THEN 2 ELSE 1 END AS INTEGER) AS attempt,
+            CASE WHEN id % 11 = 0 THEN 'refused 3' END AS error FROM msg"""),
         "ensure_table": with_(SILVER, f"SELECT id, event_time, symbol, price, volume, {named}, event_time AS processed_at{days} FROM silver"),
         "reset_table": with_(SILVER, "SELECT * FROM silver"),
         "dedup_stream": with_(TRADES, "SELECT DISTINCT * FROM t"),

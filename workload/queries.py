@@ -13,7 +13,7 @@ from tickloom.operators.throttle import throttle as throttle_rows
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import messages as shapes
 from tickloom.sources import spans, tables
-from tickloom.streaming import ingest, rollup, slices, stateful
+from tickloom.streaming import dimension, ingest, retry, rollup, slices, stateful
 from workload import fixtures as fx
 
 NOW = {"availableNow": True}
@@ -541,6 +541,38 @@ def late_rows(spark, sf):
     return slices.read_slices(spark, path, stateful.LATENESS_DDL).drop("high")
 
 
+def bound_dimension(spark, sf):
+    """A symbol is renamed in the middle of the month; the stream learns of it after two of three deliveries."""
+    path, checkpoint = _work(spark)
+    trades, versions = fx.silver(spark, sf), path + "_versions"
+    known = fx.dim_symbol(spark).select("symbol", F.lit("2000-01-01").cast("timestamp").alias("valid_from"), F.col("symbol_key").cast("int"), "asset_name")
+    known.write.parquet(versions)
+    renamed = known.where("asset_name = 'Click'").withColumns({"valid_from": F.lit("2024-01-16").cast("timestamp"), "asset_name": F.lit("Tap")})
+    for n, stream in enumerate(_out_of_order(spark, path + "_inbox", trades)):
+        if n == 2:
+            renamed.write.mode("append").parquet(versions)
+            dimension.rebind(spark, path, trades.schema, spark.read.schema(dimension.VERSIONS_DDL).parquet(versions), renamed)
+        dimension.bind_stream(stream, versions, path, checkpoint, **NOW).awaitTermination()
+    bound = spark.read.schema(dimension.bound_fields(trades.schema)).parquet(path)
+    return bound.groupBy("symbol", "symbol_key", "asset_name").agg(F.count("*").alias("n"), F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"))
+
+
+def forward_retried(spark, sf):
+    """Three deliveries to a receiver that refuses some messages once, some twice and some always."""
+    path, checkpoint = _work(spark)
+    messages = _messages(spark, sf)
+
+    def send(rows):
+        refused = ((F.col("id") % 5 == 4) & (F.col("attempt") <= 2)) | ((F.col("id") % 5 == 3) & (F.col("attempt") == 1)) | (F.col("id") % 11 == 0)
+        return rows.withColumn("error", F.when(refused, F.concat(F.lit("refused "), F.col("attempt").cast("string"))))
+
+    for stream in _out_of_order(spark, path + "_inbox", messages, F.col("id") % 3):
+        retry.forward_stream(stream, send, path, checkpoint, **NOW).awaitTermination()
+    retry.drain(spark, send, path, messages.schema)
+    out = retry.outcomes(spark, path, messages.schema)
+    return out.select("id", F.col("value").cast("string").alias("value"), "status", "attempt", "error")
+
+
 def score_stream(spark, sf):
     path, checkpoint = _work(spark)
     rows = scoring.score(fx.silver_stream(spark, sf), max_price=30.0, max_volume=50.0).select("id", "prediction")
