@@ -11,7 +11,7 @@ from tickloom.operators.scoring import count_from_ledger, gate
 from tickloom.plans import marts
 from tickloom.sources import spans, tables
 from tickloom.sources.streams import read_file_stream
-from tickloom.streaming import dimension, ingest, levels, retry, rollup, slices, stateful
+from tickloom.streaming import closing, dimension, ingest, levels, retry, rollup, slices, stateful
 
 BTC, ETH, BNB, SOL = schema.DEFAULT_SYMBOLS
 AS_OF = "2026-03-27 00:00:00"
@@ -491,3 +491,34 @@ def test_refused_messages_come_again_and_are_given_up(spark, trades, tmp_path):
     trades.where("id < 5").withColumn("id", F.col("id") + 1000).coalesce(1).write.mode("append").parquet(inbox)
     retry.forward_stream(_stream(spark, inbox), send, path, cp, **NOW).awaitTermination()
     assert retry._stored(spark, path, trades.schema).groupBy("id", "attempt").count().where("count > 1").count() == 0
+
+
+def test_windows_close_once_behind_the_slowest_partition_and_are_corrected(spark, trades, tmp_path):
+    inbox, path, cp = str(tmp_path / "inbox"), str(tmp_path / "w"), str(tmp_path / "cp")
+    ddl = DDL + ", source int"
+    rows = trades.where(f"symbol = '{BTC}'").withColumn("source", (F.col("id") % 2).cast("int"))
+
+    def deliver(part):
+        rows.where(part).coalesce(1).write.mode("append").parquet(inbox)
+        stream = read_file_stream(spark, inbox, ddl, max_files=1)
+        closing.closing_stream(stream, path, cp, "source", delay_seconds=0, expected=2, **NOW).awaitTermination()
+        return {(r["bucket_start"], r["kind"], r["n"]) for r in closing.read_emitted(spark, path).where(f"batch_id = {len(done)}").collect()}
+
+    done = []
+    done.append(deliver("id < 300 and source = 0"))
+    assert done[0] == set()  # the other partition was not seen
+    done.append(deliver("id < 100 and source = 1"))  # it holds all windows from tick 98 on open
+    done.append(deliver("id between 100 and 399 and source = 1"))
+    done.append(deliver("id = 150 and source = 0"))  # late, for a window that is closed
+    emitted = closing.read_emitted(spark, path)
+    finals = emitted.where("kind = 'final'").groupBy("bucket_start", "symbol").count().where("count > 1")
+    assert finals.count() == 0
+    last = rows.where("id < 100 and source = 1").agg(F.max("event_time")).first()[0]
+    assert done[1] and max(b for b, _, _ in done[1]).timestamp() + 300 <= last.timestamp()
+    slow = rows.where("id < 300 and source = 0").agg(F.max("event_time")).first()[0]
+    assert max(b for b, _, _ in done[2]).timestamp() + 300 <= slow.timestamp()
+    assert [(k, n) for _, k, n in done[3]] == [("correction", 2)] or [k for _, k, _ in done[3]] == ["correction"]
+    sent = rows.where("id < 300 and source = 0 or id < 400 and source = 1").unionByName(rows.where("id = 150"))
+    want = {(r["bucket_start"], r["n"]) for r in rollup.bucketed(sent, "5 minutes", rollup.flow_measures()).collect()}
+    got = {(r["bucket_start"], r["n"]) for r in closing.read_closed(spark, path).collect()}
+    assert got <= want and len(got) == len([b for b, _ in want if b.timestamp() + 300 <= slow.timestamp()])

@@ -248,6 +248,10 @@ def _streams() -> dict[str, str]:
             COUNT(*) - CASE WHEN COUNT(*) < 100 THEN 0 ELSE 100 END >= 1000 AS should_train FROM msg WHERE {good}"""),
         "rt_ingested": with_(MESSAGES, f"SELECT {named}, COUNT(*) AS trade_count FROM msg WHERE {good} GROUP BY 1"),
         "compact": with_(MESSAGES, f"SELECT id, date_trunc('second', event_time) AS event_time, symbol, price, volume, {named}{days} FROM msg WHERE {good}"),
+        "closed_windows": with_(SILVER + """, low AS (SELECT MIN(newest) - INTERVAL 1 HOUR AS low FROM (SELECT MAX(event_time) AS newest FROM silver GROUP BY id % 4))""",
+            f"""SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS bucket_start, symbol, COUNT(*) AS n, {rnd('SUM(price * volume)', 4)} AS sum_value,
+            CASE WHEN MAX(day(event_time)) <= 10 THEN 'correction' ELSE 'final' END AS kind, 1::BIGINT AS times
+            FROM silver GROUP BY 1, 2 HAVING time_bucket(INTERVAL 5 MINUTE, MIN(event_time)) + INTERVAL 5 MINUTE <= (SELECT low FROM low)"""),
         "bound_dimension": with_(SILVER, f"""SELECT symbol, CAST(symbol_key AS INTEGER) AS symbol_key,
             CASE WHEN name = 'Click' AND event_time >= TIMESTAMP '2024-01-16' THEN 'Tap' ELSE name END AS asset_name,
             COUNT(*) AS n, MIN(event_time) AS first_time, MAX(event_time) AS last_time

@@ -13,7 +13,7 @@ from tickloom.operators.throttle import throttle as throttle_rows
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import messages as shapes
 from tickloom.sources import spans, tables
-from tickloom.streaming import dimension, ingest, retry, rollup, slices, stateful
+from tickloom.streaming import closing, dimension, ingest, retry, rollup, slices, stateful
 from workload import fixtures as fx
 
 NOW = {"availableNow": True}
@@ -541,6 +541,16 @@ def late_rows(spark, sf):
     return slices.read_slices(spark, path, stateful.LATENESS_DDL).drop("high")
 
 
+def closed_windows(spark, sf):
+    """Three deliveries of four partitions, the second older than the first: windows are closed once, or corrected."""
+    path, checkpoint = _work(spark)
+    rows = fx.silver(spark, sf).withColumn("source", F.col("id") % 4)
+    for stream in _out_of_order(spark, path + "_inbox", rows):
+        closing.closing_stream(stream, path, checkpoint, "source", expected=4, **NOW).awaitTermination()
+    return closing.read_closed(spark, path).select(
+        "bucket_start", "symbol", "n", round_half_up(F.col("sum_value"), 4).alias("sum_value"), "kind", F.col("times"))
+
+
 def bound_dimension(spark, sf):
     """A symbol is renamed in the middle of the month; the stream learns of it after two of three deliveries."""
     path, checkpoint = _work(spark)
