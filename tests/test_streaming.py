@@ -71,6 +71,19 @@ def test_file_sinks(spark, inbox, tmp_path):
         assert spark.read.schema(rows.schema).format(fmt).load(path).count() == 600
 
 
+def test_a_timed_trigger_goes_on_until_stopped(spark, inbox, trades, tmp_path):
+    rows = cleaning.add_day_columns(_stream(spark, inbox))
+    query = ingest.append_files(rows, str(tmp_path / "t"), str(tmp_path / "cp"), processingTime="1 second")
+    try:
+        query.processAllAvailable()
+        trades.where("id < 7").coalesce(1).write.mode("append").parquet(inbox)
+        query.processAllAvailable()
+        assert query.isActive and query.exception() is None
+    finally:
+        query.stop()
+    assert spark.read.schema(rows.schema).parquet(str(tmp_path / "t")).count() == 607
+
+
 def _run_fan_out(spark, inbox, root, checkpoint, **kw):
     query = ingest.fan_out(
         _messages(_stream(spark, inbox)), root, checkpoint, {BTC: "Bitcoin"}, keep=["id"],

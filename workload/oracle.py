@@ -394,4 +394,8 @@ PROMPT = _prompt()
 
 
 def all_sql() -> dict[str, str]:
-    return {**_sources(), **_star(), **_realtime(), **_streams(), **_models()}
+    sql = {**_sources(), **_star(), **_realtime(), **_streams(), **_models()}
+    # The lasting views state what the functions state.
+    twins = {"view_dim_date": "dim_date", "view_dim_time": "dim_time", "view_fact_trades": "fact_trades"}
+    twins |= {f"view_{n}": f"rt_{n}" for n in ("price_range", "trade_count", "minute_flow", "vwap_5m", "whale_today", "density_5m")}
+    return sql | {view: sql[query] for view, query in twins.items()}

@@ -272,6 +272,26 @@ def view_money_flow(spark, sf):
     return spark.sql(f"SELECT Dong_Coin AS asset_name, Tong_Tien_USD AS total_usd FROM {_database(spark, sf)}.{view}")
 
 
+def _view(name, *columns):
+    """All rows of a lasting view, its columns renamed if they are given."""
+    def query(spark, sf):
+        rows = spark.table(f"{_database(spark, sf)}.{name}")
+        return rows.toDF(*columns) if columns else rows
+
+    return query
+
+
+view_dim_date = _view("vw_dim_date")
+view_dim_time = _view("vw_dim_time")
+view_fact_trades = _view("vw_fact_crypto_trades")
+view_price_range = _view("vw_2_bien_do_gia_min_max_1h", "asset_name", "lowest_price", "highest_price")
+view_trade_count = _view("vw_3_suc_nong_giao_dich_1h", "asset_name", "trade_count")
+view_minute_flow = _view("vw_4_tuong_quan_tien_va_lenh_1h", "minute", "trade_count", "total_usd")
+view_vwap_5m = _view("vw_5_xu_huong_gia_trung_binh_5p", "bucket_start", "asset_name", "vwap")
+view_whale_today = _view("vw_6_ky_luc_lenh_ca_map_hom_nay", "asset_name", "largest_order_usd")
+view_density_5m = _view("vw_7_ban_do_mat_do_lenh_5p", "bucket_start", "asset_name", "trade_count")
+
+
 def candles(spark, sf):
     return candle_ops.candles(fx.silver(spark, sf), 3600)
 
