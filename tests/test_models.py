@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 
-from tickloom.operators import anomaly, scoring, series
+from tickloom.operators import anomaly, mixed_clusters, scoring, series
 
 
 def _minutes(spark, values, symbol="A", start=1774396800):
@@ -202,3 +202,31 @@ def test_context(spark, market):
     flagged = market.where("id = 5000").select("id")
     ticks = json.loads(scoring.market_context(market, k=2, flagged=flagged).first()["context"])
     assert [t["is_anomaly"] for t in ticks] == [True, False]
+
+
+def test_mixed_clusters_equal_plain_rounds_on_a_dense_one_hot(spark):
+    """From its own last centres, Lloyd's rounds on the written-out columns stay where the model is."""
+    rng = np.random.default_rng(4)
+    rows = [(i, f"S{rng.integers(6)}", float(rng.normal(10 * (i % 3), 1)), float(rng.exponential(2) + 5 * (i % 2))) for i in range(900)]
+    rows += [(1000, None, 3.0, 4.0), (1001, "S1", None, 2.0)]
+    df = spark.createDataFrame(rows, "id int, symbol string, price double, volume double")
+    model = mixed_clusters.fit(df, k=5)
+    assert model.settled and sum(model.members) == 901
+    got = {r["id"]: (r["centroid_id"], r["distance"]) for r in mixed_clusters.with_distance(model, df.where("price is not null")).collect()}
+    full = [r for r in rows if r[2] is not None]
+    names = sorted({r[1] for r in full}, key=str)
+    dense = np.array([[r[2], r[3], *(float(r[1] == s) for s in names)] for r in full])
+    dense = dense / dense.std(axis=0, ddof=1)
+    own = np.array([got[r[0]][0] for r in full])
+    centres = np.array([dense[own == c].mean(axis=0) for c in range(5)])
+    distance = np.sqrt(((dense[:, None, :] - centres[None]) ** 2).sum(axis=2))
+    assert np.allclose(distance[np.arange(len(full)), own], [got[r[0]][1] for r in full])
+    assert (distance.min(axis=1) >= distance[np.arange(len(full)), own] - 1e-9).all()
+
+
+def test_mixed_clusters_of_few_rows(spark):
+    df = spark.createDataFrame([(1, "A", 1.0, 1.0), (2, "A", 1.0, 1.0)], "id int, symbol string, price double, volume double")
+    model = mixed_clusters.fit(df)
+    assert sum(model.members) == 2 and {r["distance"] for r in mixed_clusters.with_distance(model, df).collect()} == {0.0}
+    with pytest.raises(ValueError):
+        mixed_clusters.fit(df.where("id > 5"))

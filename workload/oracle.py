@@ -370,6 +370,9 @@ def _models() -> dict[str, str]:
         "seasonal_profile": with_(GRID, f"""SELECT g.symbol, CAST(hour(g.minute) AS INTEGER) AS phase, {rnd('AVG(g.price - d.mean)', 6)} AS effect, COUNT(*) AS minutes
             FROM grid g JOIN (SELECT symbol, CAST(minute AS DATE) AS day, AVG(price) AS mean FROM grid GROUP BY 1, 2) d
               ON d.symbol = g.symbol AND d.day = CAST(g.minute AS DATE) GROUP BY 1, 2"""),
+        "anomaly_facts": with_(SILVER, """SELECT 'members add up to' AS fact, COUNT(*) AS n FROM silver WHERE event_time >= TIMESTAMP '2024-01-30' AND event_time <= TIMESTAMP '2024-01-31'
+            UNION ALL SELECT 'centres that are not means', 0 UNION ALL SELECT 'rows nearer to another centre', 0 UNION ALL SELECT 'flagged beyond two percent', 0
+            UNION ALL SELECT 'scored in the last ten minutes', COUNT(*) FROM silver WHERE event_time >= TIMESTAMP '2024-01-30 23:50:00' AND event_time <= TIMESTAMP '2024-01-31'"""),
         "anomaly_zscore": with_(SILVER, f"""SELECT id, s.symbol, {rnd('greatest(abs((price - mp) / sp), abs((volume - mv) / sv))', 6)} AS score
             FROM silver s JOIN (SELECT symbol, AVG(price) AS mp, stddev_samp(price) AS sp, AVG(volume) AS mv, stddev_samp(volume) AS sv
                                 FROM silver GROUP BY symbol) q ON s.symbol = q.symbol

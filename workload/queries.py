@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import symbols
 from tickloom.functions.numeric import round_half_up
-from tickloom.operators import anomaly, candles as candle_ops, cleaning, numbering, scoring, series
+from tickloom.operators import anomaly, candles as candle_ops, cleaning, mixed_clusters, numbering, scoring, series
 from tickloom.operators.throttle import throttle as throttle_rows
 from tickloom.plans import marts, realtime, star, views
 from tickloom.sources import messages as shapes
@@ -688,6 +690,41 @@ def anomalies(spark, sf):
     return anomaly.anomalies(model, rows, anomaly.anomaly_threshold(model, rows))
 
 
+def anomaly_facts(spark, sf):
+    """What must hold of clusters learnt from the last day: members, nearest and mean centres, and how many are flagged there and in
+    the last ten minutes of it."""
+    rows = fx.silver(spark, sf)
+    day, minutes = anomaly.recent(rows, fx.WHOLE, 86400), anomaly.recent(rows, fx.WHOLE, 600)
+    model = mixed_clusters.fit(day)
+    scored = mixed_clusters.with_distance(model, day)
+    limit = numbering.exact_quantile(scored, "distance", 0.98).first()["quantile"]
+    # Centres anew, from the members' plain one-hot columns.
+    z = {c: F.col(c) / s for c, s in zip(model.numbers, model.scales, strict=True)}
+    means = scored.groupBy("centroid_id").agg(F.count("*").alias("members"), *[F.avg(z[c]).alias(f"m_{c}") for c in model.numbers])
+    stated = spark.createDataFrame([(i, n, *map(float, c)) for i, (n, c) in enumerate(zip(model.members, model.centres, strict=True))],
+                                   "centroid_id int, n bigint, c_price double, c_volume double")
+    off = F.greatest(F.abs(F.col("c_price") - F.col("m_price")), F.abs(F.col("c_volume") - F.col("m_volume"))) > 1e-6
+    centres = means.join(stated, "centroid_id")
+    share = scored.groupBy("centroid_id", "symbol").agg(F.count("*").alias("n")).join(means.select("centroid_id", "members", "m_price", "m_volume"), "centroid_id")
+    share = share.join(model.offsets.select("symbol", "weight"), "symbol").withColumn("share", F.col("n") / F.col("members"))
+    length = share.groupBy("centroid_id").agg(F.sum(F.col("share") * F.col("share") * F.col("weight")).alias("length"))
+    every = means.select("centroid_id", "m_price", "m_volume").join(length, "centroid_id").select(F.col("centroid_id").alias("other"), "m_price", "m_volume", "length")
+    pairs = scored.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(len(model.members) - 1)))).join(every, "other")
+    pairs = pairs.join(share.select(F.col("centroid_id").alias("other"), "symbol", "share"), ["other", "symbol"], "left")
+    pairs = pairs.join(model.offsets.select("symbol", "weight"), "symbol")
+    square = F.pow(z["price"] - F.col("m_price"), 2) + F.pow(z["volume"] - F.col("m_volume"), 2) + F.col("length") + F.col("weight") * (1 - 2 * F.coalesce("share", F.lit(0.0)))
+    nearer = F.sqrt(F.greatest(square, F.lit(0.0))) < F.col("distance") - 1e-6
+    facts = {
+        "members add up to": means.agg(F.sum("members").alias("n")),
+        "centres that are not means": centres.agg(F.count_if(off | (F.col("n") != F.col("members"))).alias("n")),
+        "rows nearer to another centre": pairs.agg(F.count_if(nearer).alias("n")),
+        "flagged beyond two percent": scored.agg(F.greatest(F.count_if(F.col("distance") > limit) - F.floor(F.count("*") * 0.02) - 1, F.lit(0)).alias("n")),
+        "scored in the last ten minutes": mixed_clusters.with_distance(model, minutes).agg(F.count("*").alias("n")),
+    }
+    out = [rows.select(F.lit(fact).alias("fact"), F.col("n").cast("bigint").alias("n")) for fact, rows in facts.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
 def anomaly_zscore(spark, sf):
     rows = fx.silver(spark, sf)
     out = anomaly.anomaly_zscore(rows, rows, 2.0)
