@@ -46,7 +46,7 @@ def test_few_documents_and_no_labels(spark, tmp_path, rows):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in names if re.match(r"op\d", q)} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in names if re.match(r"op\d", q)} and "pipeline" in names
     assert set(queries.all_queries()) <= set(names)
 
 
