@@ -112,3 +112,25 @@ def test_small_groups_and_few_links_prove_nothing(spark):
     df = spark.createDataFrame(judged, "node long, label int, true long, found long")
     left = neardup.unproven(df, df.select("label").distinct(), 0.97, 30)
     assert sorted(r.label for r in left.collect()) == [0, 1, 3]
+
+
+def test_small_labels_are_searched_too(spark, monkeypatch):
+    joins, compared = [], []
+    local_join, grown = neardup.local_join, neardup.grown
+    monkeypatch.setattr(neardup, "local_join", lambda *a: joins.append(1) or local_join(*a))
+    monkeypatch.setattr(neardup, "grown", lambda nodes, part_of, saturated, *a: compared.append(saturated.count()) or grown(nodes, part_of, saturated, *a))
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in np.float32(rng.standard_normal(16))], i % 2) for i in range(300)]
+    rows += [(300 + i, [x * 1.01 + 0.001 for x in rows[i][1]], i % 2) for i in range(10)]  # few have links, label by label
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found(spark, rows)}
+    assert got == brute(rows) and joins and compared[-1] == 0
+
+
+def test_few_links_are_audited_further(spark):
+    rows = small_groups()
+    df = spark.createDataFrame([(*r, 1, 0.5) for r in rows], SCHEMA)
+    _, nodes = neardup.distinct_vectors(df, "vec_id", "embedding", "label")
+    nothing = spark.createDataFrame([], "node long, links long, weight long")
+    linked = nodes.where("node < 3")  # no links among them, and all were asked
+    assert neardup.lacking(linked, nothing, 0.99999, 1, 100, 16, 0.97, 30).count() == 0
+    assert [r.label for r in neardup.lacking(nodes, nothing, 0.93, 1, 10_000, 16, 0.97, 30).collect()] == [0]

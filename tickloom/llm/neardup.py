@@ -3,14 +3,14 @@
 Every distinct vector keeps a list of its nearest neighbours. The lists start from neighbours along
 several random orders and are refined by local joins: two neighbours of one vector may be neighbours of
 each other. Rounds go on until few lists change. Pairs at the threshold or above, verified in double
-precision, are links.
+precision, are links. Labels of every size are searched so.
 
 A list that is full of links is saturated: there may be more. The lists of its component then grow to the
 whole component, which is compared block by block, so that every member's links are counted; blocks
 have a bounded number of rows and give counts and merged sets, never pairs. Last, the recall is
-measured for some vectors of each label against all vectors of the label, for each size of group by itself;
-while it is below ``min_recall``, or too few vectors with links were seen, the search goes on with more
-orders and longer lists. What then is not proven, and every label of few vectors, is compared as a whole.
+measured for some vectors of each label against all vectors of the label, for each size of group by itself, and
+for ten times as many where too few of them have links. Labels whose recall is below ``min_recall`` are
+searched again with more orders and longer lists; what lacks it after the last search is checked as a whole.
 
 Exactly equal vectors of one label are one vector with a multiplicity, so copies cost one row.
 """
@@ -265,10 +265,38 @@ def unproven(judged: DataFrame, labels: DataFrame, min_recall: float, min_seen:
     return labels.join(proven, "label", "left_anti")
 
 
+def poor(judged: DataFrame, min_recall: float) -> DataFrame:
+    """The labels of which some size of group shows too low a recall."""
+    linked = judged.where(F.col("true") > 0).groupBy("label", F.floor(F.log2("true")).alias("size"))
+    return linked.agg(F.avg(F.col("found") / F.col("true")).alias("recall")).where(F.col("recall") < min_recall).select("label").distinct()
+
+
+def lacking(nodes: DataFrame, links: DataFrame, threshold: float, rows: int, most_rows: int, block_rows: int,
+            min_recall: float, min_seen: int) -> DataFrame:
+    """The labels of ``nodes`` whose audited vectors lack recall.
+
+    Where fewer than ``min_seen`` of them have links, ten times as many are audited, until all of the label are, or
+    about ``most_rows``; what was seen then decides.
+    """
+    kind = nodes.schema["label"].dataType.simpleString()
+    open_labels = common.written(nodes.groupBy("label").agg(F.count("*").alias("n")))
+    out = nodes.sparkSession.createDataFrame([], f"label {kind}")
+    while True:
+        asked = nodes.join(open_labels, "label", "left_semi").select(*nodes.columns)
+        judged = common.written(audited(asked, links, threshold, rows, block_rows))
+        bad = common.written(poor(judged, min_recall))
+        out = out.union(bad)
+        few = unproven(judged, open_labels, min_recall, min_seen).join(bad, "label", "left_anti")
+        open_labels = common.written(few.where(F.col("n") > rows).select("label", "n"))
+        if rows >= most_rows or not open_labels.count():
+            return out
+        rows = min(10 * rows, most_rows)
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", k: int = 12, orders: int = 6, min_change: float = 0.01, block_rows: int = 2048,
-                    audit_rows: int = 200, min_recall: float = 0.97, max_searches: int = 3, exact_rows: int = 8192,
-                    min_seen: int = 30) -> DataFrame:
+                    audit_rows: int = 200, min_recall: float = 0.97, max_searches: int = 3, exact_rows: int = 0,
+                    min_seen: int = 30, most_audit_rows: int = 20_000) -> DataFrame:
     """(id, n_links, component_id, kept) of each row.
 
     Vectors link if their labels are equal and their cosine reaches ``threshold``. ``n_links`` counts the
@@ -276,9 +304,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     reachable, ``kept`` whether it is the row's own. Rows whose vector takes no part have no links and
     their own id. Vectors of one label must have one dimension. Repeated ids are rows of their own.
 
-    Labels of at most ``exact_rows`` distinct vectors are compared as a whole. The others are searched, up to
-    ``max_searches`` times; those whose recall is not proven by then are compared as a whole too.
-    ``audit_rows`` of each label only bounds what recall is measured on.
+    All labels are searched, those that lack recall up to ``max_searches`` times; the ones that still do are
+    checked as a whole. ``audit_rows`` of each label, up to ``most_audit_rows`` where few have links, only bound
+    what recall is measured on. Labels of at most ``exact_rows`` distinct vectors are compared as a whole
+    without a search, for callers who ask for it.
     """
     members, nodes = distinct_vectors(vectors, id_col, vector_col, label_col)
     sizes = common.written(nodes.groupBy("label").agg(F.count("*").alias("n")))
@@ -289,30 +318,34 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     sets = spark.createDataFrame([], "a long, b long")
     if large.count():
         searched = common.written(nodes.join(large, "label", "left_semi").select(*nodes.columns))
-        n_nodes, edges = searched.count(), spark.createDataFrame([], EDGE)
+        left, edges = large, spark.createDataFrame([], EDGE)
         for search in range(max_searches):
             size, trees = k << search, orders << search
-            started = along_orders(searched, trees, size, search).union(edges)  # what was found stays
+            again = common.written(searched.join(left, "label", "left_semi").select(*nodes.columns))
+            n_nodes = again.count()
+            known = edges.join(again.select(F.col("node").alias("u")), "u", "left_semi")  # what was found stays
+            started = along_orders(again, trees, size, search).union(known.select("u", "v", "sim"))
             edges = common.written(best(started.groupBy("u", "v").agg(F.max("sim").alias("sim")), size))
             while True:
-                found = local_join(edges, searched, size)
+                found = local_join(edges, again, size)
                 new = common.written(best(edges.union(found).groupBy("u", "v").agg(F.max("sim").alias("sim")), size))
                 changed = new.join(edges, ["u", "v"], "left_anti").count()
                 edges = new
                 if changed <= min_change * size * n_nodes:
                     break
-            pairs = common.written(pairs.union(verified(edges, searched, threshold)).distinct())
-            first = common.written(connected_components(pairs, "u", "v"))
+            pairs = common.written(pairs.union(verified(edges, again, threshold)).distinct())
+            first = common.written(connected_components(pairs, "u", "v").join(again.select("node"), "node", "left_semi"))
             full = edges.where(F.col("sim") >= threshold - MARGIN).groupBy("u").agg(F.count("*").alias("n")).where(
                 F.col("n") >= size).select(F.col("u").alias("node"))
-            counts, sets = grown(searched, first, full, threshold, block_rows)
-            copies = searched.select("node", "copies")
+            counts, grown_sets = grown(again, first, full, threshold, block_rows)
+            sets = sets.union(grown_sets)
+            copies = again.select("node", "copies")
             both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
             plain = both.join(copies.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(
                 F.count("*").alias("links"), F.sum("copies").alias("weight"))
-            links = common.written(plain.join(counts, "node", "left_anti").union(counts))
-            judged = audited(searched, links, threshold, audit_rows, block_rows)
-            left = common.written(unproven(judged, large, min_recall, min_seen))
+            before = links.join(copies, "node", "left_anti")  # of the labels that are settled
+            links = common.written(before.union(plain.join(counts, "node", "left_anti").union(counts)))
+            left = common.written(lacking(again, links, threshold, audit_rows, most_audit_rows, block_rows, min_recall, min_seen))
             if not left.count():
                 break
         whole = whole.union(left)
