@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.sources.tables import cut_lineage
+from tickloom.sources.tables import cut_lineage, written
 
 SAMPLE_ROWS = 2000  # rows, those of the smallest hashes of their id, among which the first centres are chosen
 
@@ -75,9 +75,12 @@ def _offsets(weights: DataFrame, sums: DataFrame | None, category: str, k: int,
 
 def fit(training: DataFrame, numbers: Sequence[str] = ("price", "volume"), category: str = "symbol", ident: str = "id", k: int = 4, rounds: int = 40,
         seed: int = 42) -> Model:
-    """Lloyd's rounds until no centre moves, or ``rounds`` of them. Rows with a null number take no part; there must be one row."""
+    """Lloyd's rounds until no centre moves, or ``rounds`` of them. Rows with a null number take no part; there must be one row.
+
+    The training rows are computed once; rounds read the columns kept.
+    """
     numbers = list(numbers)
-    rows = training.dropna(subset=numbers).select(ident, category, *[F.col(c).cast("double").alias(c) for c in numbers])
+    rows = written(training.dropna(subset=numbers).select(ident, category, *[F.col(c).cast("double").alias(c) for c in numbers]))
     found = rows.agg(F.count("*").alias("n"), *[F.stddev_samp(c).alias(c) for c in numbers]).first()
     if not found["n"]:
         raise ValueError("no rows to learn from")

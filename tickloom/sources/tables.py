@@ -40,6 +40,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the cluster's shared folder and read again: computed once, where a checkpoint computes it twice."""
+    path = f"{shared_dir(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def prune_days(trades: DataFrame, start, end) -> DataFrame:
     """Keep whole days from ``start`` to ``end`` by the partition columns alone.
 

@@ -694,9 +694,10 @@ def anomaly_facts(spark, sf):
     """What must hold of clusters learnt from the last day: members, nearest and mean centres, and how many are flagged there and in
     the last ten minutes of it."""
     rows = fx.silver(spark, sf)
-    day, minutes = anomaly.recent(rows, fx.WHOLE, 86400), anomaly.recent(rows, fx.WHOLE, 600)
+    day = tables.written(anomaly.recent(rows, fx.WHOLE, 86400))
+    minutes = anomaly.recent(day, fx.WHOLE, 600)
     model = mixed_clusters.fit(day)
-    scored = mixed_clusters.with_distance(model, day)
+    scored = tables.written(mixed_clusters.with_distance(model, day))
     limit = numbering.exact_quantile(scored, "distance", 0.98).first()["quantile"]
     # Centres anew, from the members' plain one-hot columns.
     z = {c: F.col(c) / s for c, s in zip(model.numbers, model.scales, strict=True)}
