@@ -162,6 +162,16 @@ def test_anomalies(spark, market):
     assert anomaly.with_distance(model, fresh).first()["distance"] > 0
 
 
+def test_training_rows_are_computed_once(spark, market):
+    model = anomaly.anomaly_fit(market)
+    for step, times in ((anomaly.anomaly_fit, 1), (lambda rows: anomaly.anomaly_threshold(model, rows), 1),
+                        (mixed_clusters.fit, 2)):  # once for the null check, once for the value
+        seen = spark.sparkContext.accumulator(0)
+        count = F.udf(lambda x: seen.add(1) or x, "double")
+        step(market.withColumn("price", count("price")))
+        assert 0 < seen.value <= times * market.count()
+
+
 def test_zscore_finds_the_outlier(market):
     got = anomaly.anomaly_zscore(market, market, 10.0)
     assert [r["id"] for r in got.collect()] == [5000]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import clock
 from tickloom.operators.numbering import exact_quantile
+from tickloom.sources.tables import written
 
 
 def recent(trades: DataFrame, as_of=None, seconds: int = 86400) -> DataFrame:
@@ -18,7 +19,7 @@ def recent(trades: DataFrame, as_of=None, seconds: int = 86400) -> DataFrame:
 
 
 def anomaly_fit(training: DataFrame, k: int = 4, seed: int = 42) -> PipelineModel:
-    """K-Means on standardised price, volume and one-hot symbol."""
+    """K-Means on standardised price, volume and one-hot symbol. The training rows are computed once and read by every stage."""
     stages = [
         StringIndexer(inputCol="symbol", outputCol="_index", handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCol="_index", outputCol="_symbol", dropLast=False),
@@ -26,7 +27,7 @@ def anomaly_fit(training: DataFrame, k: int = 4, seed: int = 42) -> PipelineMode
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=False, withStd=True),
         KMeans(featuresCol="_features", predictionCol="centroid_id", k=k, seed=seed),
     ]
-    return Pipeline(stages=stages).fit(training.select("symbol", "price", "volume"))
+    return Pipeline(stages=stages).fit(written(training.select("symbol", "price", "volume")))
 
 
 def centroids(model: PipelineModel, trades: DataFrame) -> DataFrame:
@@ -52,14 +53,14 @@ def with_distance(model: PipelineModel, trades: DataFrame) -> DataFrame:
 
 def anomaly_threshold(model: PipelineModel, training: DataFrame, contamination: float = 0.02) -> float:
     """Exact (1 - contamination) quantile of the training distances."""
-    scored = with_distance(model, training)
+    scored = written(with_distance(model, training).select("distance"))  # read by every pass of the quantile
     return exact_quantile(scored, "distance", 1 - contamination).first()["quantile"]
 
 
 def anomalies(model: PipelineModel, trades: DataFrame, threshold: float) -> DataFrame:
     """Flagged trades, newest first."""
     scored = with_distance(model, trades).withColumn("is_anomaly", F.col("distance") > threshold)
-    return scored.where("is_anomaly").orderBy(F.desc("event_time"))
+    return written(scored.where("is_anomaly")).orderBy(F.desc("event_time"))  # a sort reads its input twice
 
 
 def anomaly_zscore(training: DataFrame, trades: DataFrame, limit: float = 3.0) -> DataFrame:
