@@ -83,3 +83,10 @@ def test_training_does_not_depend_on_the_order(spark):
     a, b = (quality.train(d, r, max_rows=50) for d, r in ((docs, ratings), (docs.repartition(5), ratings.orderBy("quality"))))
     text = pa.array([GOOD, GOOD.upper()], pa.large_string())
     assert np.allclose(quality.margins(text, a.weights), quality.margins(text, b.weights), atol=0.2)
+
+
+def test_the_weights_are_not_fitted_in_the_driver(spark, monkeypatch):
+    fitted, fit = [], quality.fit_ordinal
+    monkeypatch.setattr(quality, "fit_ordinal", lambda *a: fitted.append(a) or fit(*a))
+    model = quality.train(*tables(spark, graded(60)))
+    assert not fitted and model.weights.any() and model.weights.dtype == np.float32 and len(model.thresholds) == len(model.grades) - 1

@@ -89,3 +89,12 @@ def test_training_on_tables(spark):
     assert score(model, "such vermin")[0] >= 0.5 > score(model, "such a garden")[0]
     assert toxicity.train(docs, labels.where("toxic = 0")) is None and toxicity.train(docs.limit(0), labels) is None
     assert toxicity.keep_clean(docs, None).count() == 120
+
+
+def test_the_machine_is_not_fitted_in_the_driver(spark, monkeypatch):
+    rows, fitted, fit = labelled(120), [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a: fitted.append(a) or fit(*a))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert not fitted and (model.weights == fit([t for _, t, _ in rows], np.array([x for *_, x in rows])).weights).all()

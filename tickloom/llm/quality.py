@@ -5,8 +5,8 @@ its shape (runs of capitals, small letters, digits, and each other character), w
 word before it; and a few hashed properties of the whole text. From the fitted model come the expected
 grade and the probability of a grade of at least ``target``, by which documents are selected.
 
-The model is fitted on at most ``max_rows`` rated rows, those with the smallest hash of their id, which
-the driver receives as sparse vectors. Scoring is one narrow Arrow function; the weights it carries have
+The model is fitted on at most ``max_rows`` rated rows, those with the smallest hash of their id, by one task
+as sparse vectors. Scoring is one narrow Arrow function; the weights it carries have
 a fixed size.
 """
 
@@ -152,12 +152,23 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     rated = rated.dropna().orderBy(F.xxhash64("id"), "id", "grade").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(rated, "id").select("text", "grade")
-    table = rows.mapInArrow(_vectors, "grade int, at array<int>, value array<float>").toArrow()
-    if not len(table):
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = list(batches)
+        if not known:
+            return
+        table = pa.Table.from_batches(known)
+        size = pc.list_value_length(table["at"]).to_numpy()
+        flat = [pa.concat_arrays([part.flatten() for part in table[c].chunks]).to_numpy() for c in ("at", "value")]
+        model = fit_ordinal(table["grade"].to_numpy(), np.repeat(np.arange(len(size)), size), flat[0], flat[1].astype(float))
+        yield pa.RecordBatch.from_pylist([{"grades": model.grades.tolist(), "weights": model.weights.tobytes(), "thresholds": model.thresholds.tolist()}],
+                                         schema=pa.schema([("grades", pa.list_(pa.int32())), ("weights", pa.binary()), ("thresholds", pa.list_(pa.float64()))]))
+
+    vectors = rows.mapInArrow(_vectors, "grade int, at array<int>, value array<float>").repartition(1)
+    fitted = vectors.mapInArrow(learn, "grades array<int>, weights binary, thresholds array<double>").first()
+    if not fitted:
         return None
-    size = pc.list_value_length(table["at"]).to_numpy()
-    flat = [table[c].combine_chunks().flatten().to_numpy() for c in ("at", "value")]
-    return fit_ordinal(table["grade"].to_numpy(), np.repeat(np.arange(len(size)), size), flat[0], flat[1].astype(float))
+    return OrdinalModel(np.array(fitted.grades, np.int32), np.frombuffer(fitted.weights, np.float32), np.array(fitted.thresholds, float))
 
 
 def quality_score(text: Column, model: OrdinalModel | None, target: int) -> Column:

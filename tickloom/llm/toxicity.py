@@ -268,15 +268,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", max_rows: int = 1000) -> ToxicModel | None:
     """The machine of at most ``max_rows`` labelled documents of each kind; None unless both kinds occur.
 
-    The documents with the smallest hash of their id are taken; null labels and ids are no labels.
+    The documents with the smallest hash of their id are taken; null labels and ids are no labels. One task fits
+    the machine, since the driver's memory is scarcer; the driver receives the machine only.
     """
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).alias("toxic")).dropna()
     order = [F.xxhash64("id"), F.col("id")]
     chosen = known.where("toxic").orderBy(*order).limit(max_rows).union(
         known.where("NOT toxic").orderBy(*order).limit(max_rows))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-    table = rows.select("id", "text", "toxic").toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
-    return fit(table["text"].to_pylist(), table["toxic"].to_numpy()) if len(table) else None
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = list(batches)
+        if not known:
+            return
+        table = pa.Table.from_batches(known).sort_by([("id", "ascending"), ("text", "ascending")])
+        model = fit(table["text"].to_pylist(), table["toxic"].to_numpy())
+        if model is not None:
+            yield pa.RecordBatch.from_pylist([{"weights": model.weights.tobytes(), "bias": model.bias, "slope": model.slope, "shift": model.shift}])
+
+    fitted = rows.select("id", "text", "toxic").repartition(1).mapInArrow(learn, "weights binary, bias double, slope double, shift double").first()
+    return ToxicModel(np.frombuffer(fitted.weights, np.float32), fitted.bias, fitted.slope, fitted.shift) if fitted else None
 
 
 def toxicity(text: Column, model: ToxicModel | None) -> Column:
